@@ -1,0 +1,120 @@
+"""Hand-made rows at the edges of every expression."""
+
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakebook import functions as fn
+from lakebook.config import SPEED_CLASSES, VEHICLE_CLASSES, VOLUME_CLASSES
+from lakebook.operators import with_lookback
+from lakebook.runwindow import RunWindow, months_before
+
+
+def values(spark, kind, inputs, expression):
+    """Result of ``expression`` on a column ``v`` holding ``inputs``."""
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(inputs)], f"i int, v {kind}")
+    return [r.out for r in df.select("i", expression(F.col("v")).alias("out")).orderBy("i").collect()]
+
+
+def test_day_first_dates(spark):
+    got = values(spark, "string", ["31/01/2024", "01/02/2024", "1/2/2024", "xx", None],
+                 fn.parse_day_first)
+    assert got == [date(2024, 1, 31), date(2024, 2, 1), date(2024, 2, 1), None, None]
+
+
+def test_ints_cut_fractions_and_reject_text(spark):
+    got = values(spark, "string", ["040", "7.9", "-3.5", " 12 ", "XYZ", "", "99999999999", None],
+                 fn.to_int)
+    assert got == [40, 7, -3, 12, None, None, None, None]
+
+
+def test_road_number(spark):
+    got = values(spark, "string", ["BR-040", "BR-XYZ", None], lambda v: fn.to_int(fn.tail(v, 4)))
+    assert got == [40, None, None]
+
+
+def test_decimals_with_commas(spark):
+    got = values(spark, "string", ["525,25", "525.2505", "abc", None],
+                 lambda v: fn.to_decimal(fn.decimal_comma(v)))
+    assert got == [Decimal("525.250"), Decimal("525.251"), None, None]
+
+
+def test_bad_dates_and_doubles_are_null(spark):
+    assert values(spark, "string", ["2024-02-30", "2024-02-29"], fn.to_date) == [None, date(2024, 2, 29)]
+    assert values(spark, "string", ["-20.5", "x"], fn.to_double) == [-20.5, None]
+
+
+def test_month_key(spark):
+    assert values(spark, "string", ["2024-09-30", None], fn.month_key) == ["202409", None]
+
+
+def test_hash_id_of_any_null_is_42(spark):
+    df = spark.createDataFrame([("a", "b"), ("a", None)], "x string, y string")
+    rows = df.select(fn.natural_key_hash(F.col("x"), F.col("y")).alias("id")).collect()
+    assert rows[0].id == spark.sql("select hash('ab') as h").first().h
+    assert rows[1].id == 42
+
+
+def test_md5_id_keeps_nulls_and_boundaries_apart(spark):
+    rows = [("a", "b"), ("ab", ""), ("a", None), (None, "a"), ("~", "a"), ("a|b", "c"), ("a", "b|c")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    ids = [r.id for r in df.select(fn.natural_key_md5(F.col("x"), F.col("y")).alias("id")).collect()]
+    assert len(set(ids)) == len(rows)
+
+
+def test_volume_classes(spark):
+    got = values(spark, "long", [0, 1, 108, 109, 216, 217, None],
+                 lambda v: fn.threshold_class(v, VOLUME_CLASSES))
+    low, mid, high = "FLUXO_BAIXO", "FLUXO_MEDIO", "FLUXO_ALTO"
+    assert got == [None, low, low, mid, mid, high, None]
+
+
+def test_labels_match_exactly(spark):
+    speed = values(spark, "string", ["101 - 120 ", "101 - 120", "<= 20 KM/h", "> 160 KM/h", None],
+                   lambda v: fn.label_class(v, SPEED_CLASSES))
+    assert speed == ["VELOCIDADE_MEDIA", None, "VELOCIDADE_BAIXA", "VELOCIDADE_ALTA", None]
+    vehicle = values(spark, "string", ["Ônibus", "Onibus", "Moto"],
+                     lambda v: fn.label_class(v, VEHICLE_CLASSES))
+    assert vehicle == ["VEICULO_ONIBUS", None, "VEICULO_MOTO"]
+
+
+def flags(spark, ref_date, days, months):
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "i int, d date")
+    flagged = with_lookback(df, "d", ref_date, (months,)).orderBy("i").collect()
+    return [r[f"flg_u{months}m"] for r in flagged]
+
+
+def test_lookback_at_month_ends(spark):
+    days = [date(2024, 8, 29), date(2024, 8, 30), date(2024, 8, 31), date(2023, 9, 29),
+            date(2023, 9, 30), date(2024, 10, 15), None]
+    assert flags(spark, date(2024, 9, 30), days, 1) == [0, 1, 1, 0, 0, 1, 0]
+    assert flags(spark, date(2024, 9, 30), days, 12) == [1, 1, 1, 0, 1, 1, 0]
+
+
+def test_lookback_in_february(spark):
+    days = [date(2025, 1, 28), date(2025, 1, 31), date(2024, 2, 28), date(2024, 2, 29)]
+    assert flags(spark, date(2025, 2, 28), days, 1) == [1, 1, 0, 0]
+    assert flags(spark, date(2025, 2, 28), days, 12) == [1, 1, 1, 1]
+
+
+@pytest.mark.parametrize(
+    "as_of, end, first, refs",
+    [
+        (date(2024, 9, 3), date(2024, 9, 30), date(2023, 9, 30), (202309, 202409)),
+        (date(2024, 2, 29), date(2024, 2, 29), date(2023, 2, 28), (202302, 202402)),
+        (date(2024, 12, 31), date(2024, 12, 31), date(2023, 12, 31), (202312, 202412)),
+    ],
+)
+def test_run_window(as_of, end, first, refs):
+    run = RunWindow.of(as_of)
+    assert (run.ref_date, run.first_date) == (end, first)
+    assert (run.first_ref, run.ref) == refs
+
+
+def test_months_before_agrees_with_spark(spark):
+    days = [date(2024, 1, 31), date(2024, 3, 31), date(2023, 12, 30), date(2024, 2, 29)]
+    for months in (1, 2, 11, 12, 13):
+        got = values(spark, "date", days, lambda d: F.add_months(d, -months))
+        assert got == [months_before(d, months) for d in days]
