@@ -5,18 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import SENSOR_KM
 from ..operators import (
+    anchor_measure,
     assign_nearest,
     attach_events,
-    day_anchors,
     duplicate_report,
     latest_version,
     nearest_sensor,
     numbered_rows,
     segment_table,
 )
-from ..operators.anchors import ROW_SEQ
-from ..config import SENSOR_KM
 from ..plans import conform_accidents, conform_flow
 from ..plans.stage import loaded_version
 from . import bindings as B
@@ -336,11 +335,7 @@ from (select *, row_number() over (
 join (select day, count(distinct o_custkey) as customers from ({ORDERS_SQL}) group by 1)
 using (day)""")
 def anchor_day_measure(spark, sf_dir):
-    order = [F.asc_nulls_last(c) for c in DAY_ORDER]
-    placed = day_anchors(orders_by_day(spark, sf_dir), "day", order)
-    per_day = placed.rows.groupBy("day").agg(F.countDistinct("o_custkey").alias("n"))
-    anchors = placed.anchors.join(per_day, "day").withColumnRenamed(ROW_SEQ, "_anchor")
-    on_anchor = F.when(F.col(ROW_SEQ) == F.col("_anchor"), F.col("n"))
-    return placed.rows.join(anchors, "day", "left").select(
-        "o_orderkey", on_anchor.alias("day_customers")
-    )
+    per_day = F.countDistinct("o_custkey")
+    orders = orders_by_day(spark, sf_dir)
+    anchored = anchor_measure(orders, "day", DAY_ORDER, per_day, "day_customers")
+    return anchored.select("o_orderkey", "day_customers")

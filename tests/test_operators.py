@@ -12,9 +12,9 @@ from lakebook.config import SENSOR_KM
 from lakebook.operators import (
     BookSpec,
     Family,
+    anchor_measure,
     assign_nearest,
     attach_events,
-    day_anchors,
     duplicate_report,
     feature_book,
     feature_book_direct,
@@ -25,7 +25,6 @@ from lakebook.operators import (
     segment_table,
     segments,
 )
-from lakebook.operators.anchors import ROW_SEQ
 from lakebook.plans import BOOK_SPEC
 
 
@@ -74,7 +73,7 @@ def test_hot_and_ordinary_keys_give_the_same(spark, hot_rows):
         F.concat(F.lit("v"), (F.col("id") % 7).cast("string")).alias("v"),
         (F.col("id") % 5).alias("x"),
     )
-    got = latest_version(df, "k", F.col("v"), hot_share=1000, hot_rows=hot_rows)
+    got = latest_version(df, "k", F.col("v"), hot_rows, hot_share=1000)
     assert rows(got) == rows(max_and_join(df))
 
 
@@ -152,10 +151,23 @@ def in_order():
 
 def test_one_anchor_per_day_even_among_copies(spark):
     df = many_copies(spark)
-    placed = day_anchors(df, "day", in_order())
-    anchored = placed.rows.join(placed.anchors.select(ROW_SEQ), ROW_SEQ).drop(ROW_SEQ)
-    first = df.withColumn("rn", F.row_number().over(Window.partitionBy("day").orderBy(*in_order())))
-    assert rows(anchored) == rows(first.where("rn = 1").drop("rn"))
+    got = anchor_measure(df, "day", ("acc", "x"), F.countDistinct("acc"), "n")
+    day = Window.partitionBy("day")
+    first = df.withColumn("rn", F.row_number().over(day.orderBy(*in_order())))
+    counts = df.groupBy("day").agg(F.countDistinct("acc").alias("c"))
+    expected = first.join(counts, "day", "left").select(
+        "day", "acc", "x", F.when(F.col("rn") == 1, F.col("c")).alias("n")
+    )
+    assert rows(got) == rows(expected)
+    assert got.where("n is not null").count() == df.where("day is not null").select("day").distinct().count()
+
+
+def test_day_without_accidents_is_anchored_with_zero(spark):
+    df = spark.createDataFrame(
+        [("d1", 7, 1), ("d1", 5, 2), ("d1", None, 3), ("d2", None, 4), ("d2", None, 5)],
+        "day string, acc long, x long")
+    got = anchor_measure(df, "day", ("acc", "x"), F.countDistinct("acc"), "n")
+    assert {r.x: r.n for r in got.collect()} == {1: None, 2: 2, 3: None, 4: 0, 5: None}
 
 
 def test_row_numbers_equal_the_plain_window(spark):

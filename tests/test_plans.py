@@ -10,7 +10,7 @@ from __spark_entry__ import queries
 from lakebook.checks import bindings as B
 from lakebook.checks.lake import accidents_by_month
 from lakebook.checks.lake import MONTHLY
-from lakebook.operators import day_anchors, feature_book, latest_version, with_lookback
+from lakebook.operators import feature_book, latest_version, with_lookback
 from lakebook.operators.book import partial_sums
 from lakebook.plans import BOOK_SPEC
 from lakebook.plans.stage import loaded_version
@@ -32,16 +32,15 @@ def test_month_range_prunes_folders(spark, sf_dir):
 
 
 def test_dedup_shuffles_rows_once_and_drops_outdated_before(spark, sf_dir):
-    text = plan(latest_version(B.flow(spark, sf_dir), "id_fluxo", loaded_version()))
-    ordinary = text.split("Union")[1].split("BroadcastHashJoin")[0]
-    assert "Partial" in ordinary and ordinary.count("Exchange") == 1
-    assert "LeftAnti" in text and "CartesianProduct" not in text
-
+    flow = B.flow(spark, sf_dir)
+    small = plan(latest_version(flow, "id_fluxo", loaded_version()))
+    assert small.count("Exchange") == 1 and small.count("WindowGroupLimit") == 2
+    assert "Join" not in small
 
-def test_anchor_rows_are_limited_before_the_shuffle(spark, sf_dir):
-    rows = B.flow(spark, sf_dir).select("data_fluxo", "id_fluxo")
-    text = plan(day_anchors(rows, "data_fluxo", [F.asc_nulls_last("id_fluxo")]).anchors)
-    assert text.count("WindowGroupLimit") == 2 and "Partial" in text
+    large = plan(latest_version(flow, "id_fluxo", loaded_version(), hot_rows=100))
+    ordinary = large.split("Union")[1].split("BroadcastHashJoin")[0]
+    assert "Partial" in ordinary and ordinary.count("Exchange") == 1
+    assert "LeftAnti" in large and "SortMergeJoin" not in large
 
 
 def test_book_reads_rows_in_one_hash_aggregate(spark, sf_dir):
