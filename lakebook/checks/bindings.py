@@ -32,7 +32,7 @@ def _state(key: str):
 
 
 def _month(column: str):
-    return F.date_format(column, "yyyyMM").cast("int")
+    return F.year(column) * 100 + F.month(column)
 
 
 def flow(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from decimal import Decimal
 
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -197,7 +197,12 @@ book_row = st.tuples(
 )
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(
+    max_examples=6,
+    deadline=None,
+    phases=[Phase.generate],  # every example is a Spark job: no shrinking
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
 @given(st.lists(book_row, min_size=1, max_size=30))
 def test_book_equals_the_direct_aggregate(spark, data):
     df = spark.createDataFrame(data, "k int, c string, d string, m long, n long, w1 int, w2 int")
