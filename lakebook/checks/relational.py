@@ -11,6 +11,7 @@ from ..operators import (
     assign_nearest,
     attach_events,
     duplicate_report,
+    enrich,
     latest_version,
     nearest_sensor,
     numbered_rows,
@@ -230,7 +231,7 @@ from f left join d on data_fluxo = day""")
 def left_join_enrich(spark, sf_dir):
     flow = B.flow(spark, sf_dir)
     per_day = flow.groupBy("data_fluxo").agg(F.countDistinct("km_fluxo").alias("sensors"))
-    return plain(flow.join(per_day, "data_fluxo", "left").select("id_fluxo", "data_fluxo", "sensors"))
+    return plain(enrich(flow, per_day, "data_fluxo").select("id_fluxo", "data_fluxo", "sensors"))
 
 
 NEAREST_OUT_SQL = f"""select id_acidente, cast(km_acidente as double) as km_acidente,

@@ -130,7 +130,43 @@ KEY_SQL = f"""select id_fluxo, strftime(data_fluxo, '%Y-%m-%d') as day,
   from ({B.FLOW_SQL})"""
 
 
-@check("surrogate_id_hash")
+def _mod32(value: str) -> str:
+    return f"(({value}) % 4294967296)"
+
+
+def _rotate(value: str, bits: int) -> str:
+    return _mod32(f"{value} * {1 << bits} + {value} // {1 << (32 - bits)}")
+
+
+def murmur3_sql(text: str) -> str:
+    """The public 32-bit Murmur3 hash (seed 42) of a text column, as Spark defines it.
+
+    Four bytes at a time, little end first; the last bytes one by one, sign-extended.
+    All arithmetic is on unsigned 64-bit numbers modulo 2**32.
+    """
+    mixed_k = _mod32(_rotate(_mod32("k * 3432918353"), 15) + " * 461845907")
+    mixed_h = _mod32(_rotate(f"xor(h, {mixed_k})", 13) + " * 5 + 3864292196")
+    steps = f"""
+      bytes as (select id, {text} is null as missing, [cast('0x' || substring(hex({text}), 2 * i + 1, 2)
+                  as ubigint) for i in range(octet_length(encode({text})))] as b from keyed),
+      words as (select id, missing, len(b) as n, list_concat(
+          [b[4*i+1] + b[4*i+2] * 256 + b[4*i+3] * 65536 + b[4*i+4] * 16777216
+           for i in range(len(b) // 4)],
+          [case when b[i] > 127 then b[i] + 4294967040 else b[i] end
+           for i in range(len(b) // 4 * 4 + 1, len(b) + 1)]) as w from bytes),
+      h0 as (select id, missing, xor(list_reduce(list_concat([cast(42 as ubigint)], w),
+                 lambda h, k: {mixed_h}), cast(n as ubigint)) as h from words),
+      h1 as (select id, missing, {_mod32("xor(h, h // 65536) * 2246822507")} as h from h0),
+      h2 as (select id, missing, {_mod32("xor(h, h // 8192) * 3266489909")} as h from h1),
+      h3 as (select id, missing, xor(h, h // 65536) as h from h2)
+    select id, cast(case when missing then 42 when h > 2147483647 then cast(h as bigint) - 4294967296
+                    else cast(h as bigint) end as integer) as surrogate_id from h3"""
+    return steps
+
+
+@check("surrogate_id_hash", f"""with keyed as (
+  select id_fluxo as id, {" || ".join(KEY_PARTS)} as key from ({KEY_SQL})),
+  {murmur3_sql("key")}""")
 def surrogate_id_hash(spark, sf_dir):
     parts = map(F.col, KEY_PARTS)
     return natural_key(spark, sf_dir).select(

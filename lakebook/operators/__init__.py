@@ -4,13 +4,13 @@ from .anchors import anchor_measure, numbered_rows
 from .book import BookSpec, Family, feature_book, feature_book_direct
 from .dedup import duplicate_report, latest_version
 from .incremental import filter_new, next_hwm
-from .joins import attach_events
+from .joins import attach_events, enrich
 from .lookback import with_lookback
 from .nearest import assign_nearest, nearest_sensor, segment_table, segments
 
 __all__ = [
     "BookSpec", "Family", "anchor_measure", "assign_nearest", "attach_events",
-    "duplicate_report", "feature_book", "feature_book_direct", "filter_new",
+    "duplicate_report", "enrich", "feature_book", "feature_book_direct", "filter_new",
     "latest_version", "nearest_sensor", "next_hwm", "numbered_rows", "segment_table",
     "segments", "with_lookback",
 ]

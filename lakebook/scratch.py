@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+_local_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by the session.
 
@@ -19,11 +22,12 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"{CHECKPOINT_DIR} must name a folder all executors share")
-    root = tempfile.mkdtemp(prefix="lakebook-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="lakebook-")
+    return _local_roots[context.applicationId]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

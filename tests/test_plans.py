@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from lakebook.checks import bindings as B
-from lakebook.checks.lake import accidents_by_month
-from lakebook.checks.lake import MONTHLY
-from lakebook.operators import feature_book, latest_version, with_lookback
+from lakebook.checks.lake import MONTHLY, accidents_by_month
+from lakebook.config import ProductConfig
+from lakebook.operators import attach_events, feature_book, latest_version, with_lookback
 from lakebook.operators.book import partial_sums
 from lakebook.plans import BOOK_SPEC
-from lakebook.plans.stage import loaded_version
+from lakebook.plans.stage import JOIN_KEYS, loaded_version, placed_accidents
+from lakebook.scratch import materialize
 from lakebook.sources import read_refs
 
 
@@ -43,6 +44,48 @@ def test_dedup_shuffles_rows_once_and_drops_outdated_before(spark, sf_dir):
     assert "LeftAnti" in large and "SortMergeJoin" not in large
 
 
+def executed_plan(spark, df) -> str:
+    """Final plan of ``df`` after AQE, from the listing of the last executed query."""
+    df.write.format("noop").mode("overwrite").save()
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return runs.apply(runs.size() - 1).physicalPlanDescription()
+
+
+def test_crowded_join_key_is_split(spark, sf_dir):
+    """A third of the flow on one sensor, day and direction, accidents too big to broadcast."""
+    tight = spark.newSession()
+    for name, value in {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }.items():
+        tight.conf.set(name, value)
+    crowd = F.col("id_fluxo") % 3 == 0
+    flow = B.flow(tight, sf_dir).repartition(8).withColumns(
+        {
+            "data_fluxo": F.when(crowd, F.lit("2001-05-01").cast("date"))
+            .otherwise(F.col("data_fluxo")),
+            "km_fluxo": F.when(crowd, F.lit("531.800").cast("decimal(14,3)"))
+            .otherwise(F.col("km_fluxo")),
+            "sentido_fluxo": F.when(crowd, "Crescente").otherwise(F.col("sentido_fluxo")),
+        }
+    )
+    events = materialize(placed_accidents(B.accidents(tight, sf_dir), ProductConfig()), "events")
+    joined = attach_events(materialize(flow, "crowded"), events, JOIN_KEYS)
+    assert "SortMergeJoin(skew=true) LeftOuter" in executed_plan(tight, joined)
+
+
+def test_small_events_leave_the_flow_in_place(spark, sf_dir):
+    flow = B.flow(spark, sf_dir)
+    events = materialize(placed_accidents(B.accidents(spark, sf_dir), ProductConfig()), "events")
+    text = plan(attach_events(flow, events, JOIN_KEYS))
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+
+
 def test_book_reads_rows_in_one_hash_aggregate(spark, sf_dir):
     from lakebook.checks.features import stage
 
