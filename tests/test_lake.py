@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakebook.__main__ import main
 from lakebook.plans import LakePaths, Subject, conform_accidents, conform_flow, ingest_subject, run_month
 from lakebook.plans.month import read_book
 from lakebook.schemas import ACCIDENTS_TRANSIENT, ACCIDENTS_TRUSTED, CONTROL, FLOW_TRANSIENT, FLOW_TRUSTED
@@ -39,6 +40,13 @@ def test_trailing_spaces_and_accents_survive(spark, tmp_path):
     assert [r.day for r in read_delimited(spark, path, TINY).collect()] == ["101 - 120 ", "Ônibus"]
 
 
+def test_missing_texts_and_doubled_quotes(spark, tmp_path):
+    schema = T.StructType([T.StructField("t", T.StringType()), T.StructField("x", T.DoubleType())])
+    path = put(tmp_path / "a.csv", 't;x\nNA;1.5\n"a ""b"" c;d";NaN\nNAN;bad\nnull;2\n')
+    assert [tuple(r) for r in read_delimited(spark, path, schema).collect()] == [
+        (None, 1.5), ('a "b" c;d', None), ("NAN", None), (None, 2.0)]
+
+
 class Lake:
     def __init__(self, spark, tmp_path):
         self.spark, self.root = spark, tmp_path
@@ -184,6 +192,17 @@ def test_monthly_run(spark, tmp_path, flow_records, accident_records):
     assert at_527.VAR_360 is None
 
 
+def test_steps_one_by_one_from_the_command_line(spark, tmp_path, flow_records, accident_records):
+    lake = lake_at(tmp_path, flow_records, accident_records)
+    common = ["--root", lake.root, "--dt-proc", "20240930120000", "--as-of", "2024-09-05"]
+    sources = ["--flow", lake.flow_source, "--accidents", lake.accidents_source]
+    assert main(["ingest", *common, *sources]) == {"tb_raw_fluxo": 5, "tb_raw_acidentes": 4}
+    assert main(["conform", *common]) == {"tb_trusted_fluxo": 5, "tb_trusted_acidentes": 4}
+    assert main(["refine", *common]) == {"tb_refined_stage": 5, "tb_refined_book": 2}
+    with pytest.raises(SystemExit):
+        main(["ingest", *common])
+
+
 def test_rerun_replaces_and_append_doubles(spark, tmp_path, flow_records, accident_records):
     lake = lake_at(tmp_path, flow_records, accident_records)
     as_of = date(2024, 9, 5)
