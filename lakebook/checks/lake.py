@@ -144,6 +144,7 @@ def hwm_advance(spark, sf_dir):
 
 EVENTS = Subject(
     "eventos",
+    "tb_raw_eventos",
     T.StructType(
         [
             T.StructField("event_id", T.LongType()),

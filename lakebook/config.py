@@ -53,9 +53,17 @@ LOOKBACK_MONTHS = (1, 3, 6, 9, 12)
 # How many months before the run month the stage reaches back.
 HISTORY_MONTHS = 12
 
-# Audit table names.
-TB_RAW_FLOW = "tb_raw_fluxo"
-TB_RAW_ACCIDENTS = "tb_raw_acidentes"
+# Folders of the lake, under its root.
+RAW_FOLDER = "02_raw"
+TRUSTED_FOLDER = "03_trusted"
+STAGE_FOLDER = "04_refined/stage_fluxo_acidentes"
+BOOK_FOLDER = "04_refined/book_km_fluxo_acidentes"
+CONTROL_FOLDER = "05_controle"
+
+# Subjects, and the audit names of their tables.
+FLOW_SUBJECT = "fluxo"
+ACCIDENTS_SUBJECT = "acidentes"
+TB_RAW = {FLOW_SUBJECT: "tb_raw_fluxo", ACCIDENTS_SUBJECT: "tb_raw_acidentes"}
 TB_TRUSTED_FLOW = "tb_trusted_fluxo"
 TB_TRUSTED_ACCIDENTS = "tb_trusted_acidentes"
 TB_STAGE = "tb_refined_stage"

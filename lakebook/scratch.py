@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,9 +33,35 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[context.applicationId]
 
 
+# The innermost open scope of this thread.
+_scope: ContextVar[list[str] | None] = ContextVar("lakebook_scratch", default=None)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path no other run uses."""
-    return f"{scratch_root(spark)}/lakebook/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/lakebook/{name}-{uuid.uuid4().hex}"
+    made = _scope.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Drop the intermediate tables made inside once the block has finished.
+
+    For jobs whose results are all written by then. After an error they are kept.
+    """
+    made: list[str] = []
+    outer = _scope.set(made)
+    try:
+        yield
+    finally:
+        _scope.reset(outer)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for folder in made:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

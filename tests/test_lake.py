@@ -2,6 +2,7 @@
 
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from lakebook.__main__ import main
 from lakebook.plans import LakePaths, Subject, conform_accidents, conform_flow, ingest_subject, run_month
 from lakebook.plans.month import read_book
 from lakebook.schemas import ACCIDENTS_TRANSIENT, ACCIDENTS_TRUSTED, CONTROL, FLOW_TRANSIENT, FLOW_TRUSTED
+from lakebook.scratch import materialize, scratch_scope
 from lakebook.sinks import append_by_ref
 from lakebook.sources import get_hwm, read_delimited, read_layer, read_refs
 
@@ -47,10 +49,20 @@ def test_missing_texts_and_doubled_quotes(spark, tmp_path):
         (None, 1.5), ('a "b" c;d', None), ("NAN", None), (None, 2.0)]
 
 
+def test_scratch_scope_drops_only_its_own_tables(spark):
+    before = materialize(spark.range(3), "kept")
+    with scratch_scope(spark):
+        inside = materialize(spark.range(4), "dropped")
+        assert inside.count() == 4
+        folder = Path(inside.inputFiles()[0].removeprefix("file:")).parent
+        assert folder.exists()
+    assert not folder.exists() and before.count() == 3
+
+
 class Lake:
     def __init__(self, spark, tmp_path):
         self.spark, self.root = spark, tmp_path
-        self.subject = Subject("tiny", TINY, "day", day_first=True)
+        self.subject = Subject("tiny", "tb_raw_tiny", TINY, "day", day_first=True)
 
     def load(self, text, dt_proc):
         source = put(self.root / f"in-{dt_proc}.csv", text)
