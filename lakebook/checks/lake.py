@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..functions import iso_date
 from ..operators import filter_new, next_hwm
 from ..plans import LakePaths, Subject, ingest_subject, run_month
-from ..schemas import ACCIDENTS_TRANSIENT, CONTROL, FLOW_TRANSIENT
+from ..schemas import ACCIDENTS_TRANSIENT, CONTROL, FLOW_TRANSIENT, STATE
 from ..scratch import new_folder
 from ..sinks import append_by_ref, append_hwm, write_raw
 from ..sources import latest_marks, read_delimited, read_layer, read_refs
@@ -127,7 +127,7 @@ def hwm_read(spark, sf_dir):
         F.col("day").alias("hwm"),
         F.concat(F.replace("day", F.lit("-"), F.lit("")), F.lit("000000")).alias("dt_proc"),
     ).write.parquet(path)
-    return latest_marks(spark.read.schema("subject string, hwm string, dt_proc string").parquet(path))
+    return latest_marks(read_layer(spark, path, STATE))
 
 
 @check("incremental_filter", f"""select event_id, strftime(ts, '%Y-%m-%d') as day from events
@@ -174,7 +174,7 @@ def ingest_increment(spark, sf_dir):
         "20240131000000",
     )
     layout = T.StructType([*EVENTS.schema.fields, T.StructField("dt_proc", T.StringType())])
-    state = spark.read.schema("subject string, hwm string, dt_proc string").parquet(f"{root}/state")
+    state = read_layer(spark, f"{root}/state", STATE)
     audit = read_layer(spark, f"{root}/control", CONTROL)
     return read_layer(spark, f"{root}/raw", layout).withColumns(
         {

@@ -103,7 +103,8 @@ def str_concat_pipe(spark, sf_dir):
     )
 
 
-@check("str_concat_nulls", f"select id, road || '/' || cast(id as varchar) as joined from ({ROADS_SQL})")
+@check("str_concat_nulls", f"""select id, road || '/' || cast(id as varchar) as joined
+  from ({ROADS_SQL})""")
 def str_concat_nulls(spark, sf_dir):
     joined = F.concat(F.col("road"), F.lit("/"), F.col("id"))
     return road_names(spark, sf_dir).select("id", joined.alias("joined"))
@@ -147,8 +148,9 @@ def murmur3_sql(text: str) -> str:
     mixed_k = _mod32(_rotate(_mod32("k * 3432918353"), 15) + " * 461845907")
     mixed_h = _mod32(_rotate(f"xor(h, {mixed_k})", 13) + " * 5 + 3864292196")
     steps = f"""
-      bytes as (select id, {text} is null as missing, [cast('0x' || substring(hex({text}), 2 * i + 1, 2)
-                  as ubigint) for i in range(octet_length(encode({text})))] as b from keyed),
+      bytes as (select id, {text} is null as missing,
+                [cast('0x' || substring(hex({text}), 2 * i + 1, 2) as ubigint)
+                 for i in range(octet_length(encode({text})))] as b from keyed),
       words as (select id, missing, len(b) as n, list_concat(
           [b[4*i+1] + b[4*i+2] * 256 + b[4*i+3] * 65536 + b[4*i+4] * 16777216
            for i in range(len(b) // 4)],
@@ -159,7 +161,8 @@ def murmur3_sql(text: str) -> str:
       h1 as (select id, missing, {_mod32("xor(h, h // 65536) * 2246822507")} as h from h0),
       h2 as (select id, missing, {_mod32("xor(h, h // 8192) * 3266489909")} as h from h1),
       h3 as (select id, missing, xor(h, h // 65536) as h from h2)
-    select id, cast(case when missing then 42 when h > 2147483647 then cast(h as bigint) - 4294967296
+    select id, cast(case when missing then 42
+                    when h > 2147483647 then cast(h as bigint) - 4294967296
                     else cast(h as bigint) end as integer) as surrogate_id from h3"""
     return steps
 
@@ -179,7 +182,8 @@ MD5_SQL = " || '|' || ".join(
 )
 
 
-@check("surrogate_id_md5", f"select id_fluxo as id, md5({MD5_SQL}) as surrogate_id from ({KEY_SQL})")
+@check("surrogate_id_md5", f"""select id_fluxo as id, md5({MD5_SQL}) as surrogate_id
+  from ({KEY_SQL})""")
 def surrogate_id_md5(spark, sf_dir):
     parts = map(F.col, KEY_PARTS)
     return natural_key(spark, sf_dir).select(
