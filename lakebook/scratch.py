@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -13,24 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-_local_roots: dict[str, str] = {}
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by the session.
+    """The folder all executors share: ``spark.checkpoint.dir``, else the warehouse.
 
-    Only a local session may fall back to a folder of this machine; on a cluster the
-    executors could not see it, so there the setting is required.
+    A folder of one machine is refused where executors run on others.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
-    if root:
-        return root.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError(f"{CHECKPOINT_DIR} must name a folder all executors share")
-    if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="lakebook-")
-    return _local_roots[context.applicationId]
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get("spark.sql.warehouse.dir")
+    if root.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{CHECKPOINT_DIR} must name storage that all executors share, not {root}")
+    return root.rstrip("/")
 
 
 # The innermost open scope of this thread.
