@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from . import oracles
 from .chat import prefix_target_examples, read_back
 from .common import read
+from .packing import pack
 from .quality import quality_verdict
 from .sharding import shard_by_bytes
+from .simhash import simhash_components
 from .urls import build_index, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +30,17 @@ PROBE_TEXT = "</s>[INST] ok [/INST]"
 SHARDS = 24
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the packing query; it stays where it is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format all conversations and one that spells out control strings; read them back."""
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -53,6 +66,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read(spark, sf_dir, "pages"), build_index(rules))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(read(spark, sf_dir, "documents"))
+
+
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_by_bytes(read(spark, sf_dir, "documents"), SHARDS)
     return placed.select(
@@ -67,8 +84,10 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_CHECKS: dict[str, tuple[Query, str | None]] = {
+    "op2_packing": (op2_packing, None),
     "op3_chat": (op3_chat, None),
     "op4_quality": (op4_quality, None),
     "op5_url_filter": (op5_url_filter, None),
+    "op9_simhash": (op9_simhash, None),
     "op10_shards": (op10_shards, None),
 }
