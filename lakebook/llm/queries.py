@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from . import oracles
 from .chat import prefix_target_examples, read_back
-from .common import read
+from .common import SPACE, read
 from .packing import pack
 from .quality import quality_verdict
 from .sharding import shard_by_bytes
 from .simhash import simhash_components
+from .substrings import dedup_substrings
 from .urls import build_index, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +67,14 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read(spark, sf_dir, "pages"), build_index(rules))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = F.array_remove(F.split("kept_text", f"[{SPACE}]+"), "")
+    kept = F.array_join(words, " ").cast("binary")
+    return dedup_substrings(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"), "spans"
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents"))
 
@@ -88,6 +97,7 @@ LLM_CHECKS: dict[str, tuple[Query, str | None]] = {
     "op3_chat": (op3_chat, None),
     "op4_quality": (op4_quality, None),
     "op5_url_filter": (op5_url_filter, None),
+    "op6_substrings": (op6_substrings, None),
     "op9_simhash": (op9_simhash, None),
     "op10_shards": (op10_shards, None),
 }
