@@ -15,6 +15,7 @@ from .quality import quality_verdict
 from .sharding import shard_by_bytes
 from .simhash import simhash_components
 from .substrings import dedup_substrings
+from .toxicity import score_toxicity
 from .urls import build_index, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +76,10 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents"))
 
@@ -98,6 +103,7 @@ LLM_CHECKS: dict[str, tuple[Query, str | None]] = {
     "op4_quality": (op4_quality, None),
     "op5_url_filter": (op5_url_filter, None),
     "op6_substrings": (op6_substrings, None),
+    "op8_toxicity": (op8_toxicity, None),
     "op9_simhash": (op9_simhash, None),
     "op10_shards": (op10_shards, None),
 }
