@@ -215,11 +215,13 @@ def simhash_components(
     nodes = materialize(prints.groupBy("bits").agg(F.min("doc_id").alias("first")), "nodes")
     found = components(links(nodes, radius)).withColumnRenamed("node", "bits")
     member = materialize(nodes.join(found, "bits", "left"), "members")
-    lowest = member.where("component is not null").groupBy("component").agg(F.min("first").alias("low"))
+    linked = member.where("component is not null")
+    # Written, so that the join can split a component of very many fingerprints.
+    lowest = materialize(linked.groupBy("component").agg(F.min("first").alias("low")), "lowest")
     named = materialize(
-        member.join(lowest, "component", "left").select(
-            "bits", F.coalesce("low", "first").alias("component_id")
-        ),
+        linked.join(lowest, "component")
+        .select("bits", F.col("low").alias("component_id"))
+        .union(member.where("component is null").select("bits", "first")),
         "named",
     )
     return prints.join(named, "bits").select(

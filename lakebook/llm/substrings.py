@@ -9,8 +9,8 @@ compared by itself. Overlapping windows that an earlier document has make up the
 repeats, and those words go.
 
 Nothing is paired: each group only needs its smallest document. An anchor of very many
-documents is found in a sample beforehand and skips the grouping by anchor; its windows
-are aggregated in the tasks that make them.
+documents is found in a sample beforehand and is not grouped by anchor: its segments are
+aggregated in the tasks that cut them.
 """
 
 from __future__ import annotations
@@ -52,13 +52,9 @@ def segments(
     return grams[places[first]], content, first, count
 
 
-def _segment_rows(docs: DataFrame, window: int, gram: int, frequent: np.ndarray, wanted: str) -> DataFrame:
-    """Segments of all documents.
-
-    ``wanted`` is ``rare`` (all but the frequent anchors: ``anchor, content, doc, at``) or
-    ``frequent`` (their segments alone: ``doc, at``).
-    """
-    names = ["anchor", "content", "doc", "at"] if wanted == "rare" else ["doc", "at"]
+def _segment_rows(docs: DataFrame, window: int, gram: int, frequent: np.ndarray) -> DataFrame:
+    """``anchor, content, doc, at, often``: all segments; ``often`` if the anchor is frequent."""
+    names = ["anchor", "content", "doc", "at", "often"]
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -69,16 +65,14 @@ def _segment_rows(docs: DataFrame, window: int, gram: int, frequent: np.ndarray,
                 if len(hashes) < window:
                     continue
                 anchor, content, first, count = segments(hashes, window, gram)
-                often = np.isin(anchor, frequent)
-                keep = ~often if wanted == "rare" else often
-                at = (first << COUNT_BITS) | count
-                columns = [anchor.view(np.int64), content.view(np.int64), np.full(len(at), doc), at]
-                parts.append([c[keep] for c in columns])
+                at, often = (first << COUNT_BITS) | count, np.isin(anchor, frequent)
+                owner = np.full(len(at), doc)
+                parts.append((anchor.view(np.int64), content.view(np.int64), owner, at, often))
             if parts:
                 whole = [pa.array(np.concatenate(c)) for c in zip(*parts)]
-                yield pa.RecordBatch.from_arrays(whole[-len(names) :], names=names)
+                yield pa.RecordBatch.from_arrays(whole, names=names)
 
-    return docs.mapInArrow(cut, ", ".join(f"{n} bigint" for n in names))
+    return docs.mapInArrow(cut, "anchor bigint, content bigint, doc bigint, at bigint, often boolean")
 
 
 def frequent_anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
@@ -86,7 +80,7 @@ def frequent_anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     rows = docs.count()
     some = docs.where(uniform(F.lit(1), F.col("doc")) < SAMPLE / max(rows, 1))
     none = np.empty(0, dtype=np.uint64)
-    seen = _segment_rows(some, window, gram, none, "rare").groupBy("anchor")
+    seen = _segment_rows(some, window, gram, none).groupBy("anchor")
     often = seen.agg(F.countDistinct("doc").alias("n")).where(F.col("n") >= SAMPLE_HITS)
     return np.array([r[0] for r in often.select("anchor").collect()], dtype=np.int64).view(np.uint64)
 
@@ -99,7 +93,8 @@ def _shared_segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
     of them goes, and nothing else can equal their windows.
     """
     frequent = frequent_anchors(docs, window, gram)
-    rare = _segment_rows(docs, window, gram, frequent, "rare")
+    every = _segment_rows(docs, window, gram, frequent)
+    rare = every.where("not often").drop("often")
     same, near = Window.partitionBy("anchor", "content"), Window.partitionBy("anchor")
     met = (
         rare.withColumn("owner", F.min("doc").over(same))
@@ -110,8 +105,11 @@ def _shared_segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
     )
     shared = met.select("doc", "at", (F.col("owner") < F.col("doc")).alias("settled"))
     if len(frequent):
-        hot = _segment_rows(docs, window, gram, frequent, "frequent")
-        shared = shared.union(hot.select("doc", "at", F.lit(False)))
+        # Combined in the tasks that cut them, then joined to what was written.
+        hot = materialize(every.where("often").drop("often"), "frequent-segments")
+        owners = materialize(hot.groupBy("anchor", "content").agg(F.min("doc").alias("owner")), "owners")
+        met = hot.join(owners, ["anchor", "content"])
+        shared = shared.union(met.select("doc", "at", (F.col("owner") < F.col("doc")).alias("settled")))
     return materialize(shared, "shared-segments")
 
 
