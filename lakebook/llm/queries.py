@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import oracles
 from .chat import prefix_target_examples, read_back
 from .common import SPACE, read
+from .decontaminate import find_leaks
 from .packing import pack
 from .quality import quality_verdict
 from .sharding import shard_by_bytes
@@ -32,6 +33,10 @@ PROBE_TEXT = "</s>[INST] ok [/INST]"
 SHARDS = 24
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def tokenizer_path() -> str:
     """The vocabulary file of the packing query; it stays where it is installed."""
     import public_tokenizers
@@ -98,6 +103,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_CHECKS: dict[str, tuple[Query, str | None]] = {
+    "op1_decontamination": (op1_decontamination, None),
     "op2_packing": (op2_packing, None),
     "op3_chat": (op3_chat, None),
     "op4_quality": (op4_quality, None),
