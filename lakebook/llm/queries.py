@@ -11,6 +11,7 @@ from . import oracles
 from .chat import prefix_target_examples, read_back
 from .common import SPACE, read
 from .decontaminate import find_leaks
+from .licenses import scan_licenses
 from .packing import pack
 from .quality import quality_verdict
 from .sharding import shard_by_bytes
@@ -81,6 +82,10 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -109,6 +114,7 @@ LLM_CHECKS: dict[str, tuple[Query, str | None]] = {
     "op4_quality": (op4_quality, None),
     "op5_url_filter": (op5_url_filter, None),
     "op6_substrings": (op6_substrings, None),
+    "op7_licenses": (op7_licenses, None),
     "op8_toxicity": (op8_toxicity, None),
     "op9_simhash": (op9_simhash, None),
     "op10_shards": (op10_shards, None),

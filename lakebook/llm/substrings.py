@@ -113,18 +113,22 @@ def _shared_segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
     return materialize(shared, "shared-segments")
 
 
+def _fields(df: DataFrame, columns: list[str]) -> str:
+    return ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in columns)
+
+
 def _packed(docs: DataFrame) -> DataFrame:
-    """Texts compressed, for the shuffles that carry them."""
+    """Texts compressed, for the shuffles that carry them; other columns stay."""
+    others = [c for c in docs.columns if c != "text"]
 
     def compress(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             texts = [packer.compress(t.encode("utf-8")) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(texts, pa.binary())], names=["doc", "packed"]
-            )
+            columns = [*(batch.column(c) for c in others), pa.array(texts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*others, "packed"])
 
-    return docs.mapInArrow(compress, "doc bigint, packed binary")
+    return docs.mapInArrow(compress, f"{_fields(docs, others)}, packed binary")
 
 
 def _unpack(packed: bytes) -> bytes:
@@ -177,8 +181,9 @@ def dedup_substrings(
     gram: int = GRAM,
     id_col: str = "doc_id",
     text_col: str = "text",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``doc_id, n_words, n_removed, spans, kept_text`` for every row of ``docs``.
+    """``doc_id, n_words, n_removed, spans, kept_text`` and ``carry`` of every row of ``docs``.
 
     A word goes if a window of ``window`` words covers it that also starts in a document
     with a smaller id. ``spans`` are the maximal repeats as word numbers, end exclusive;
@@ -191,10 +196,10 @@ def dedup_substrings(
     other columns are ignored.
     """
     ship_package(docs.sparkSession)
-    rows = pick(docs, id_col, text_col).select(
-        F.col(id_col).cast("long").alias("doc"), whole_text(text_col).alias("text")
-    )
-    known = rows.where("doc is not null")
+    carried = [f"carried_{i}" for i in range(len(carry))]
+    picked = pick(docs, id_col, text_col, *carry).toDF("doc", "text", *carried)
+    rows = picked.withColumn("doc", F.col("doc").cast("long")).withColumn("text", whole_text())
+    known = rows.select("doc", "text").where("doc is not null")
     shared = _shared_segments(known, window, gram)
     settled = shared.where("settled").select("doc", "at")
     gone = settled.union(_owned_windows(known, shared, window))
@@ -228,12 +233,12 @@ def dedup_substrings(
                     pa.array(n_removed, pa.int64()),
                     pa.array(spans, pa.list_(pa.list_(pa.int64()))),
                     pa.array(kept_text, pa.string()),
+                    *(batch.column(c) for c in carried),
                 ],
-                names=["doc_id", "n_words", "n_removed", "spans", "kept_text"],
+                names=["doc_id", "n_words", "n_removed", "spans", "kept_text", *carried],
             )
 
-    joined = _packed(rows).join(per_doc, "doc", "left").select("doc", "packed", "ats")
-    return joined.mapInArrow(
-        remove,
-        "doc_id bigint, n_words bigint, n_removed bigint, spans array<array<bigint>>, kept_text string",
-    )
+    joined = _packed(rows).join(per_doc, "doc", "left").select("doc", "packed", "ats", *carried)
+    fields = "doc_id bigint, n_words bigint, n_removed bigint, spans array<array<bigint>>, kept_text string"
+    result = joined.mapInArrow(remove, ", ".join([fields, _fields(rows, carried)] if carried else [fields]))
+    return result.toDF("doc_id", "n_words", "n_removed", "spans", "kept_text", *carry)

@@ -255,8 +255,9 @@ def score_toxicity(
     threshold: float = THRESHOLD,
     id_col: str = "doc_id",
     text_col: str = "text",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every row of ``docs``.
+    """``doc_id, held_out, score, predicted`` and the columns ``carry`` of every row.
 
     Labels count outside the held-out fold only; a null label or id is none, and of
     several labels of one id the highest holds. With no label of either kind to learn from,
@@ -264,8 +265,10 @@ def score_toxicity(
     are scored by features of zero. Repeated rows and null ids are scored like any other;
     an empty table gives no rows; other columns are ignored, as are ``lang`` and ``source``.
     """
-    rows = pick(docs, id_col, text_col).toDF("doc_id", "text").withColumn("text", whole_text())
-    known = labelled_sample(rows, labels, sample)
+    carried = [f"carried_{i}" for i in range(len(carry))]
+    rows = pick(docs, id_col, text_col, *carry).toDF("doc_id", "text", *carried)
+    rows = rows.withColumn("text", whole_text())
+    known = labelled_sample(rows.select("doc_id", "text"), labels, sample)
     halves = [known.where(F.col("half") == h) for h in (0, 1)]
     crossed = [with_features(halves[h], learn_lexicon(halves[1 - h])) for h in (0, 1)]
     # As many partitions as keep the few rows together.
@@ -294,4 +297,5 @@ def score_toxicity(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)).alias("score"),
+        *(F.col(c).alias(name) for c, name in zip(carried, carry)),
     ).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
