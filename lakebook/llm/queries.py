@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracles
 from .chat import prefix_target_examples, read_back
 from .common import SPACE, read
 from .decontaminate import find_leaks
 from .licenses import scan_licenses
+from .oracles import chat_sql, quality_sql, substring_sql, url_sql
 from .packing import pack
 from .quality import quality_verdict
 from .sharding import shard_by_bytes
@@ -78,7 +78,7 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.array_remove(F.split("kept_text", f"[{SPACE}]+"), "")
     kept = F.array_join(words, " ").cast("binary")
     return dedup_substrings(read(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"), "spans"
+        "doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256")
     )
 
 
@@ -110,10 +110,10 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_CHECKS: dict[str, tuple[Query, str | None]] = {
     "op1_decontamination": (op1_decontamination, None),
     "op2_packing": (op2_packing, None),
-    "op3_chat": (op3_chat, None),
-    "op4_quality": (op4_quality, None),
-    "op5_url_filter": (op5_url_filter, None),
-    "op6_substrings": (op6_substrings, None),
+    "op3_chat": (op3_chat, chat_sql(PROBE_TEXT)),
+    "op4_quality": (op4_quality, quality_sql()),
+    "op5_url_filter": (op5_url_filter, url_sql(URL_RULES)),
+    "op6_substrings": (op6_substrings, substring_sql()),
     "op7_licenses": (op7_licenses, None),
     "op8_toxicity": (op8_toxicity, None),
     "op9_simhash": (op9_simhash, None),
