@@ -1,0 +1,12 @@
+"""Corpus queries against their SQL oracles."""
+
+import pytest
+
+from lakebook.llm.queries import LLM_CHECKS
+from tests.support import compare
+
+
+@pytest.mark.parametrize("name", [n for n, (_, sql) in LLM_CHECKS.items() if sql])
+def test_matches_oracle(name, spark, duck, sf_dir):
+    run, sql = LLM_CHECKS[name]
+    assert compare(run(spark, sf_dir), duck, sql) is None
