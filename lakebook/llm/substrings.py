@@ -10,7 +10,7 @@ repeats, and those words go.
 
 Nothing is paired: each group only needs its smallest document. An anchor of very many
 documents is found in a sample beforehand and is not grouped by anchor: its segments are
-aggregated in the tasks that cut them.
+aggregated in the tasks that cut them, with neighbours of that kind extended to one.
 """
 
 from __future__ import annotations
@@ -34,22 +34,27 @@ GRAM = 5
 # there are at most (segments of the sample / SAMPLE_HITS) such anchors.
 SAMPLE = 2_000
 SAMPLE_HITS = 20
-# Start and count of the windows of a segment share one number.
-COUNT_BITS = 6
+# First window and number of windows of a segment share one number.
+COUNT_BITS = 24
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def segments(
-    hashes: np.ndarray, window: int, gram: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, content, first window and number of windows of each segment."""
+    hashes: np.ndarray, window: int, gram: int, frequent: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, content, first window and number of windows of each segment, and whether
+    the anchor is frequent. Neighbours with frequent anchors are one segment."""
     rolling = Rolling(hashes)
     grams = rolling.grams(gram)
     places = anchors(grams, window - gram + 1)
     first = np.flatnonzero(np.diff(places, prepend=-1))
+    often = np.isin(grams[places[first]], frequent)
+    alone = np.ones(len(first), dtype=bool)
+    alone[1:] = ~(often[1:] & often[:-1])
+    first, often = first[alone], often[alone]
     count = np.diff(first, append=len(places))
     content = rolling.stretch(first, first + count + window - 1)
-    return grams[places[first]], content, first, count
+    return grams[places[first]], content, first, count, often
 
 
 def _segment_rows(docs: DataFrame, window: int, gram: int, frequent: np.ndarray) -> DataFrame:
@@ -64,8 +69,8 @@ def _segment_rows(docs: DataFrame, window: int, gram: int, frequent: np.ndarray)
                 hashes = word_hashes(split_words(text))
                 if len(hashes) < window:
                     continue
-                anchor, content, first, count = segments(hashes, window, gram)
-                at, often = (first << COUNT_BITS) | count, np.isin(anchor, frequent)
+                anchor, content, first, count, often = segments(hashes, window, gram, frequent)
+                at = (first << COUNT_BITS) | count
                 owner = np.full(len(at), doc)
                 parts.append((anchor.view(np.int64), content.view(np.int64), owner, at, often))
             if parts:
