@@ -31,7 +31,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--as-of", type=date.fromisoformat, default=None, help="default: today")
     parser.add_argument("--dt-proc", default=None, help="load stamp, yyyyMMddHHmmss; default: now")
     parser.add_argument("--mode", choices=("overwrite", "append"), default="overwrite")
-    parser.add_argument("--conform", choices=("all", "new"), default="all")
+    parser.add_argument("--conform", choices=("pending", "all"), default="pending")
     parser.add_argument("--id-mode", choices=("hash", "md5"), default="hash")
     args = parser.parse_args(argv)
     if args.step in ("run", "ingest") and not (args.flow and args.accidents):

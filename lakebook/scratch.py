@@ -23,6 +23,22 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _located(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _located(spark, path)
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote, if it is there."""
+    files, place = _located(spark, path)
+    files.delete(place, True)
+
+
 # The innermost open scope of this thread.
 _scope: ContextVar[list[str] | None] = ContextVar("lakebook_scratch", default=None)
 
@@ -48,10 +64,8 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scope.reset(outer)
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for folder in made:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        remove(spark, folder)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from .delimited import read_delimited
 from .layers import read_layer, read_refs
-from .state import get_hwm, latest_marks
+from .state import committed_loads, get_hwm, latest_marks, read_raw, read_state
 
-__all__ = ["get_hwm", "latest_marks", "read_delimited", "read_layer", "read_refs"]
+__all__ = [
+    "committed_loads", "get_hwm", "latest_marks", "read_delimited", "read_layer", "read_raw",
+    "read_refs", "read_state",
+]

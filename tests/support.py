@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import math
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ def local_spark() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lakebook-tests-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

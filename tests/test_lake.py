@@ -10,11 +10,11 @@ from pyspark.sql import types as T
 
 from lakebook.__main__ import main
 from lakebook.plans import LakePaths, Subject, conform_accidents, conform_flow, ingest_subject, run_month
-from lakebook.plans.month import read_book
+from lakebook.plans.month import conform_month, ingest_month, read_book, refine_month
 from lakebook.schemas import ACCIDENTS_TRANSIENT, ACCIDENTS_TRUSTED, CONTROL, FLOW_TRANSIENT, FLOW_TRUSTED
 from lakebook.scratch import materialize, scratch_scope
-from lakebook.sinks import append_by_ref
-from lakebook.sources import get_hwm, read_delimited, read_layer, read_refs
+from lakebook.sinks import append_by_ref, write_raw
+from lakebook.sources import get_hwm, read_delimited, read_layer, read_raw, read_refs
 
 
 def put(path, text):
@@ -98,7 +98,44 @@ def test_increments(spark, tmp_path):
     assert (lake.mark(), lake.raw()) == ("2024-02-01", before)
     assert before == [("2024-01-30", 1, "20240131000000"), ("2024-01-31", 2, "20240131000000"),
                       ("2024-02-01", 5, "20240201000000")]
-    assert [a[2] for a in lake.audit()] == [2, 1, 0]
+    assert [a[2] for a in lake.audit() if a[0] == "tb_raw_tiny"] == [2, 1, 0]
+    assert [a[2] for a in lake.audit() if a[0] == "tb_raw_tiny_rejected"] == [1, 1, 1]
+
+
+def test_retries_and_old_stamps(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    first = "day;n\n30/01/2024;1\n31/01/2024;2\n"
+    assert lake.mark() is None and not (tmp_path / "state").exists()
+    lake.load(first, "20240131000000")
+    # a committed stamp is not loaded again, an older stamp moves the mark on
+    assert lake.load(first + "01/02/2024;3\n", "20240131000000").rows == 0
+    assert lake.load(first + "01/02/2024;3\n", "20240101000000").rows == 1
+    assert lake.mark() == "2024-02-01"
+    assert lake.load(first + "01/02/2024;3\n", "20240301000000").rows == 0
+    assert not (tmp_path / "raw" / "dt_proc=20240301000000").exists()
+
+
+def test_uncommitted_load_counts_for_nothing(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    lost = spark.createDataFrame([("2024-01-30", 1), ("2024-01-30", 1)], TINY)
+    write_raw(lost, str(tmp_path / "raw"), "20240131000000", "day")  # and then the run died
+    args = (str(tmp_path / "raw"), TINY, str(tmp_path / "state"), "tiny")
+    assert read_raw(spark, *args).count() == 0
+    lake.load("day;n\n30/01/2024;1\n", "20240131000000")
+    assert [tuple(r) for r in read_raw(spark, *args).collect()] == [
+        ("2024-01-30", 1, "20240131000000", "2024-01-30")]
+
+
+def test_unusable_dates_are_kept_apart(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    lake.subject = Subject("tiny", "tb_raw_tiny", TINY, "day")
+    assert lake.load("day;n\n2024-10-09;1\n31/12/2024;2\n;3\n", "20241009000000").rows == 1
+    assert lake.mark() == "2024-10-09"
+    assert lake.load("day;n\n2024-10-10;4\n", "20241010000000").rows == 1
+    layout = T.StructType([*TINY.fields, T.StructField("dt_proc", T.StringType())])
+    kept = read_layer(spark, str(tmp_path / "raw_rejected"), layout).collect()
+    assert {(r.day, r.n) for r in kept} == {("31/12/2024", 2), (None, 3)}
+    assert ("tb_raw_tiny_rejected", "20241009000000", 2) in lake.audit()
 
 
 def test_month_written_twice(spark, tmp_path):
@@ -219,7 +256,7 @@ def test_rerun_replaces_and_append_doubles(spark, tmp_path, flow_records, accide
     lake = lake_at(tmp_path, flow_records, accident_records)
     as_of = date(2024, 9, 5)
     run_month(spark, lake, as_of, "20240930120000")
-    again = run_month(spark, lake, as_of, "20240930130000")
+    again = run_month(spark, lake, as_of, "20240930130000", conform="all")
     # nothing new to ingest; trusted received all raw rows a second time
     assert again.rows["tb_raw_fluxo"] == 0 and again.rows["tb_trusted_fluxo"] == 5
     assert (stage_rows(spark, lake).count(), read_book(spark, lake).count()) == (5, 2)
@@ -230,13 +267,32 @@ def test_rerun_replaces_and_append_doubles(spark, tmp_path, flow_records, accide
 
 def test_new_loads_only(spark, tmp_path, flow_records, accident_records):
     lake = lake_at(tmp_path, flow_records, accident_records)
-    run_month(spark, lake, date(2024, 9, 5), "20240930120000", conform="new")
+    run_month(spark, lake, date(2024, 9, 5), "20240930120000")
     later = flow_records + [flow_record("02/10/2024", 529.1, 10)]
     lake = lake_at(tmp_path, later, accident_records)
-    report = run_month(spark, lake, date(2024, 10, 5), "20241031120000", conform="new")
+    report = run_month(spark, lake, date(2024, 10, 5), "20241031120000")
     assert report.rows["tb_trusted_fluxo"] == 1 and report.rows["tb_refined_stage"] == 6
 
 
+def test_conforming_twice_changes_nothing(spark, tmp_path, flow_records, accident_records):
+    lake = lake_at(tmp_path, flow_records, accident_records)
+    stamp = "20240930120000"
+    run = run_month(spark, lake, date(2024, 9, 5), stamp).run
+    before = sorted(map(str, stage_rows(spark, lake).collect()))
+    assert conform_month(spark, lake, stamp)["tb_trusted_fluxo"] == 5
+    refine_month(spark, lake, run, stamp)
+    assert sorted(map(str, stage_rows(spark, lake).collect())) == before
+
+
+def test_load_of_a_run_that_died_is_conformed_later(spark, tmp_path, flow_records, accident_records):
+    lake = lake_at(tmp_path, flow_records, accident_records)
+    ingest_month(spark, lake, "20240930120000")  # and then the run died
+    report = run_month(spark, lake, date(2024, 9, 5), "20240930130000")
+    assert report.rows["tb_raw_fluxo"] == 0 and report.rows["tb_trusted_fluxo"] == 5
+    assert run_month(spark, lake, date(2024, 9, 5), "20240930140000").rows["tb_trusted_fluxo"] == 0
+    assert stage_rows(spark, lake).count() == 5
+
+
 def test_a_month_without_any_data(spark, tmp_path, flow_records, accident_records):
     lake = lake_at(tmp_path, flow_records, accident_records)
     report = run_month(spark, lake, date(2030, 1, 1), "20300131120000")
