@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakebook.llm.common import pick, read
+from lakebook.llm.common import pick, read, whole_text
 from lakebook.llm.decontaminate import find_leaks
 from lakebook.llm.packing import pack
 from lakebook.llm.queries import tokenizer_path
@@ -28,8 +28,11 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity score does not reject, unchanged."""
-    scored = score_toxicity(docs, read(spark, sf_dir, "labels"), carry=("text", *OTHERS, "n_chars"))
-    return scored.where("predicted = 0").select(*COLUMNS)
+    rows = pick(docs, *COLUMNS).withColumn("text_key", F.xxhash64(whole_text()))
+    scored = score_toxicity(rows, read(spark, sf_dir, "labels"), carry=("text_key",))
+    bad = scored.where("predicted = 1").select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key"))
+    same = rows["doc_id"].eqNullSafe(F.col("bad_id")) & (rows["text_key"] == F.col("bad_key"))
+    return rows.join(bad.distinct(), same, "left_anti").select(*COLUMNS)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

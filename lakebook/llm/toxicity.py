@@ -43,7 +43,7 @@ BATCH_TERMS = 200_000
 NEAR = 5
 # Weight of the trees' own probability, which orders texts of one calibrated step.
 SLOPE = 0.02
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 INSULTS = frozenset(
     "idiot idiots moron morons stupid dumb fool loser losers trash scum pathetic worthless "
@@ -179,7 +179,7 @@ def with_features(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
     def extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = _kinds(lexicon)
         for batch in batches:
-            values = [features(text, kinds) for text in batch.column("text").to_pylist()]
+            values = [features(text.as_py(), kinds) for text in batch.column("text")]
             table = np.array(values, dtype=np.float64).reshape(-1, len(FEATURES))
             columns = [batch.column(c) for c in others] + [pa.array(c) for c in table.T.copy()]
             yield pa.RecordBatch.from_arrays(columns, names=[*others, *FEATURES])
