@@ -332,3 +332,32 @@ def test_hot_text_is_subdivided(spark):
     )
     sizes = shard_by_bytes(frame, 8).groupBy("shard").agg(F.sum("size").alias("s")).collect()
     assert len(sizes) == 8 and max(r.s for r in sizes) - min(r.s for r in sizes) <= 24
+
+
+def test_frequent_passages_equal_brute_force(spark):
+    """Passages in most documents, alone and between other words: frequent anchors."""
+    rng = random.Random(17)
+    passages = [[f"p{k}w{i}" for i in range(n)] for k, n in ((0, 40), (1, 14), (2, 12))]
+    texts = {}
+    for doc in range(120):
+        words = []
+        for _ in range(rng.randint(1, 4)):
+            words += [f"u{rng.randrange(10**6)}" for _ in range(rng.randint(0, 9))]
+            passage = list(rng.choice(passages))
+            if rng.random() < 0.3:
+                passage[rng.randrange(len(passage))] = "edit"
+            words += passage
+        texts[doc] = words
+    owner = {}
+    for doc, words in texts.items():
+        for i in range(len(words) - 12):
+            owner.setdefault(tuple(words[i : i + 13]), doc)
+    frame = spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], "doc_id long, text string")
+    for r in dedup_substrings(frame).collect():
+        words = texts[r.doc_id]
+        gone = set()
+        for i in range(len(words) - 12):
+            if owner[tuple(words[i : i + 13])] < r.doc_id:
+                gone.update(range(i, i + 13))
+        assert r.kept_text.split() == [w for i, w in enumerate(words) if i not in gone]
+        assert [i for a, b in r.spans for i in range(a, b)] == sorted(gone)
