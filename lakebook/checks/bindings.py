@@ -123,6 +123,7 @@ select o_orderkey as id_acidente,
 from orders
 """
 
+# Fixed values in the next three: bounds, labels and class names.
 VOLUME_CASE = """case when volume_total_fluxo between 1 and 108 then 'FLUXO_BAIXO'
        when volume_total_fluxo between 109 and 216 then 'FLUXO_MEDIO'
        when volume_total_fluxo > 216 then 'FLUXO_ALTO' end"""
@@ -133,8 +134,9 @@ SPEED_CASE = """case when velocidade_fluxo in ('<= 20 KM/h', '21 - 50 KM', '51 -
        when velocidade_fluxo in ('121 - 140 ', '141 - 160 ', '> 160 KM/h')
          then 'VELOCIDADE_ALTA' end"""
 
-VEHICLE_CASE = """case when tipo_de_veiculo_fluxo in ('Comercial', 'Passeio', 'Moto', 'Ônibus')
-       then 'VEICULO_' || replace(upper(tipo_de_veiculo_fluxo), 'Ô', 'O') end"""
+VEHICLE_CASE = """case tipo_de_veiculo_fluxo when 'Comercial' then 'VEICULO_COMERCIAL'
+       when 'Passeio' then 'VEICULO_PASSEIO' when 'Moto' then 'VEICULO_MOTO'
+       when 'Ônibus' then 'VEICULO_ONIBUS' end"""
 
 
 def latest_sql(source: str, key: str) -> str:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import iso_date
-from ..operators import filter_new, next_hwm
+from ..functions import iso_date, to_int, to_number
+from ..operators import enrich, filter_new, next_hwm
 from ..plans import LakePaths, Subject, ingest_subject, run_month
 from ..schemas import ACCIDENTS_TRANSIENT, CONTROL, FLOW_TRANSIENT, STATE
 from ..scratch import new_folder
@@ -31,6 +31,7 @@ LINES = T.StructType(
 def write_delimited(df: DataFrame, path: str) -> None:
     writer = df.write.option("sep", ";").option("header", True).option("encoding", "UTF-8")
     # speed labels may end in a space, which the writer would drop
+    writer = writer.option("ignoreLeadingWhiteSpace", False)
     writer.option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
@@ -42,6 +43,28 @@ def scan_delimited(spark, sf_dir):
     return read_delimited(spark, path, LINES)
 
 
+MIXED = T.StructType([T.StructField(n, T.StringType()) for n in ("l_orderkey", "l_partkey", "l_tax")])
+
+
+@check("scan_delimited_mixed_numbers", """select cast(l_orderkey as bigint) as order_key,
+  cast(l_partkey as integer) as part_key, l_tax as tax from lineitem""")
+def scan_delimited_mixed_numbers(spark, sf_dir):
+    """Whole numbers spelled ``40``, ``40.0`` and with blanks around, typed after the scan."""
+    lines, path = table(spark, sf_dir, "lineitem"), new_folder(spark, "delimited")
+
+    def spelled(name: str, turn: str):
+        text, way = F.col(name).cast("bigint").cast("string"), F.col(turn) % 3
+        blanks = F.concat(F.lit(" "), text, F.lit(" "))
+        return F.when(way == 0, text).when(way == 1, F.concat(text, F.lit(".0"))).otherwise(blanks).alias(name)
+
+    write_delimited(lines.select(spelled("l_orderkey", "l_partkey"), spelled("l_partkey", "l_suppkey"), "l_tax"), path)
+    return read_delimited(spark, path, MIXED).select(
+        to_int(F.col("l_orderkey"), "bigint").alias("order_key"),
+        to_int(F.col("l_partkey")).alias("part_key"),
+        to_number(F.col("l_tax")).alias("tax"),
+    )
+
+
 @check("scan_parquet", """select l_orderkey, l_linenumber, l_quantity, l_returnflag
   from lineitem""")
 def scan_parquet(spark, sf_dir):
@@ -270,21 +293,35 @@ def control_rows(spark, sf_dir):
     return layers[0].unionByName(layers[1]).unionByName(layers[2])
 
 
-@check("run_month_stage", RUN_CTES + """
+MONTH_STAGE_SQL = RUN_CTES + """
 select cast(km_fluxo as double) as km_fluxo, ref, strftime(data_fluxo, '%Y-%m-%d') as data_fluxo,
        fbc_classificacao_tipo_veiculo, fbc_classificacao_velocidade, fbc_classificacao_volume,
-       count(*) as n, cast(sum(flv_volume_fluxo) as bigint) as volume, count(id_acidente) as hits
-from stage group by all""")
-def run_month_stage(spark, sf_dir):
-    lake = monthly_lake(spark, sf_dir)
+       count(*) as n, cast(sum(flv_volume_fluxo) as bigint) as volume, count(id_acidente) as hits,
+       cast(max(day_accidents) as bigint) as day_accidents
+from (select *, sum(fvl_acidentes_dia) over (partition by data_fluxo) as day_accidents from stage) s
+group by s.km_fluxo, ref, s.data_fluxo, fbc_classificacao_tipo_veiculo,
+         fbc_classificacao_velocidade, fbc_classificacao_volume"""
+
+
+def stored_stage(spark: SparkSession, lake: LakePaths) -> DataFrame:
+    """Counts by class of the stored stage, with the day's measure, wherever it stands."""
     stage = spark.read.parquet(lake.stage)
+    days = stage.groupBy("data_fluxo").agg(F.sum("fvl_acidentes_dia").alias("day_accidents"))
     return plain(
-        stage.groupBy(
+        enrich(stage, days, "data_fluxo")
+        .groupBy(
             "km_fluxo", "ref", "data_fluxo", "fbc_classificacao_tipo_veiculo",
             "fbc_classificacao_velocidade", "fbc_classificacao_volume",
-        ).agg(
+        )
+        .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum("flv_volume_fluxo").alias("volume"),
             F.count("id_acidente").alias("hits"),
+            F.max("day_accidents").alias("day_accidents"),
         )
     )
+
+
+@check("run_month_stage", MONTH_STAGE_SQL)
+def run_month_stage(spark, sf_dir):
+    return stored_stage(spark, monthly_lake(spark, sf_dir))

@@ -203,16 +203,17 @@ def cast_date(spark, sf_dir):
     ))
 
 
-@check("cast_int", f"""select id, try_cast(substring(road, 4) as integer) as road_number,
-  try_cast(split_part(price, ',', 1) as integer) as price_whole
-  from ({ROADS_SQL}) left join ({PRICES_SQL}) using (id)""")
+@check("cast_int", f"""select 'road' as source, id, try_cast(substring(road, 4) as integer) as number
+  from ({ROADS_SQL})
+  union all select 'price', id, try_cast(split_part(price, ',', 1) as integer) from ({PRICES_SQL})""")
 def cast_int(spark, sf_dir):
-    roads, prices = road_names(spark, sf_dir), comma_prices(spark, sf_dir)
-    return roads.join(prices, "id", "left").select(
-        "id",
-        to_int(tail(F.col("road"), 4)).alias("road_number"),
-        to_int(decimal_comma(F.col("price"))).alias("price_whole"),
+    roads = road_names(spark, sf_dir).select(
+        F.lit("road").alias("source"), "id", to_int(tail(F.col("road"), 4)).alias("number")
     )
+    prices = comma_prices(spark, sf_dir).select(
+        F.lit("price").alias("source"), "id", to_int(decimal_comma(F.col("price"))).alias("number")
+    )
+    return roads.unionByName(prices)
 
 
 @check("cast_decimal", f"""select id, cast(try_cast(replace(price, ',', '.') as decimal(14,3))
