@@ -2,8 +2,9 @@
 
 Numbers, units and names become typed placeholders, so a question whose parameters were
 changed keeps its template. Windows of the template are matched by hash against those of
-the benchmark. Matches of one document and item that lie on one alignment are put
-together; the values behind the placeholders must then map consistently (one value of the
+the benchmark. A second stream of windows, of the plain lower-cased words, has no names: it
+finds what was copied in other capitals, where names can't be told. Each stream is judged
+on its own. Matches of one document and item that lie on one alignment are put together; the values behind the placeholders must then map consistently (one value of the
 item always to the same value of the document), which tells a re-parameterised question
 from a text that only has its form.
 
@@ -34,16 +35,22 @@ UNITS = (
     "mph kmh usd eur dollars euros cents percent degrees meters metres kilometers miles feet "
     "inches grams kilograms pounds liters litres hours minutes seconds"
 ).split()
+# Streams of windows and whether names are placeholders in them.
+STREAMS = {"named": True, "plain": False}
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
 # Marks put before names and for separators inside numbers while the punctuation goes.
 _NAME, _POINT = "\x01", "\x02"
 
 
-def canonical(text: Column) -> tuple[Column, Column]:
-    """The template of a text and, word for word beside it, its lower-cased values."""
-    free = F.translate(text, _NAME + _POINT, "")
-    # A capital after a small letter or comma: inside a sentence, so a name.
-    named = F.regexp_replace(free, r"(?<=[\p{Ll},;][ ])(\p{Lu}\p{L}+)", f"{_NAME}$1")
+def canonical(text: Column, names: bool = True) -> tuple[Column, Column]:
+    """The template of a text and, word for word beside it, its lower-cased values.
+
+    Without ``names`` it is the same whatever the capitals.
+    """
+    named = F.translate(text, _NAME + _POINT, "")
+    if names:
+        # A capital after a small letter or comma: inside a sentence, so a name.
+        named = F.regexp_replace(named, r"(?<=[\p{Ll},;][ ])(\p{Lu}\p{L}+)", f"{_NAME}$1")
     pointed = F.regexp_replace(named, r"(?<=\d)[.,:](?=\d)", _POINT)
     bare = F.regexp_replace(pointed, rf"[^\p{{L}}\p{{N}}{SPACE}{_NAME}{_POINT}]+", "")
     values = F.lower(F.translate(bare, _POINT + _NAME, "."))
@@ -58,62 +65,83 @@ def _words(text: Column) -> Column:
 
 
 def _templates(rows: DataFrame) -> DataFrame:
-    """``id, template, slots``: words of the template, and of the values."""
-    template, values = canonical(F.col("text"))
-    cut = rows.select("id", _words(template).alias("template"), _words(values).alias("slots"))
-    return cut
+    """``id`` and, for each stream, words of its template and of the values beside them."""
+    columns = ["id"]
+    for stream, names in STREAMS.items():
+        template, values = canonical(F.col("text"), names)
+        columns += [_words(template).alias(f"{stream}_template"), _words(values).alias(f"{stream}_slots")]
+    return rows.select(*columns)
 
 
-def _digest(width: Column | int, at: Column) -> Column:
-    return F.xxhash64(F.slice("template", at, width))
+def _digest(stream: str, window: Column) -> Column:
+    return F.xxhash64(window, F.lit(stream))
 
 
 def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``h, width, item, at, n_windows, literal, template, slots`` of every usable window.
+    """``stream, h, width, item, at, literal, template, slots`` of every usable window.
 
     An item shorter than a window is one window of its own length.
     """
-    cut = _templates(items).where(F.size("template") >= LEAST_WORDS)
-    width = F.least(F.lit(window), F.size("template"))
-    starts = cut.select("*", width.alias("width")).select(
-        "*", F.explode(F.sequence(F.lit(1), F.size("template") - F.col("width") + 1)).alias("at")
-    )
-    placeholders = F.size(F.filter(F.slice("template", F.col("at"), F.col("width")), lambda w: w.startswith("<")))
-    return (
-        starts.withColumn("free", F.col("width") - placeholders)
-        .where(F.col("free") >= LEAST_WORDS)
-        .select(
-            _digest(F.col("width"), F.col("at")).alias("h"),
-            "width",
+    cut = _templates(items)
+    parts = []
+    for stream in STREAMS:
+        one = cut.select("id", F.col(f"{stream}_template").alias("template"), F.col(f"{stream}_slots").alias("slots"))
+        width = F.least(F.lit(window), F.size("template")).alias("width")
+        starts = one.where(F.size("template") >= LEAST_WORDS).select("*", width)
+        at = F.explode(F.sequence(F.lit(1), F.size("template") - F.col("width") + 1)).alias("at")
+        spans = starts.select("*", at).select(
             F.col("id").alias("item"),
+            "width",
             "at",
-            (F.col("free") == F.col("width")).alias("literal"),
             F.slice("template", F.col("at"), F.col("width")).alias("template"),
             F.slice("slots", F.col("at"), F.col("width")).alias("slots"),
         )
-    )
+        free = F.col("width") - F.size(F.filter("template", lambda w: w.startswith("<")))
+        parts.append(
+            spans.withColumn("free", free)
+            .where(F.col("free") >= LEAST_WORDS)
+            .select(
+                F.lit(stream).alias("stream"),
+                _digest(stream, F.col("template")).alias("h"),
+                "width",
+                "item",
+                "at",
+                (F.col("free") == F.col("width")).alias("literal"),
+                "template",
+                "slots",
+            )
+        )
+    return reduce(DataFrame.union, parts)
+
 
+def _matches(docs: DataFrame, digests: list[int], widths: list[tuple[str, int]]) -> DataFrame:
+    """``doc, stream, h, width, pos, words, values`` of the documents' windows in ``digests``.
 
-def _matches(docs: DataFrame, digests: list[int], widths: list[int]) -> DataFrame:
-    """``doc, h, width, pos, words, values`` of the documents' windows in ``digests``."""
+    ``widths`` has each stream and width that the benchmark has windows of.
+    """
     known = ",".join(f"{d}L" for d in digests)
     parts = [
-        f"filter(transform(sequence(1, size(template) - {w - 1}), "
-        f"i -> named_struct('h', xxhash64(slice(template, i, {w})), 'width', {w}, 'pos', i)), "
-        f"x -> x.h in ({known}))"
-        for w in widths
+        f"if(size({s}_template) >= {w}, filter(transform(sequence(1, size({s}_template) - {w - 1}), "
+        f"i -> named_struct('h', xxhash64(slice({s}_template, i, {w}), '{s}'), 'stream', '{s}', 'width', {w}, 'pos', i)), "
+        f"x -> x.h in ({known})), array())"
+        for s, w in widths
     ]
-    guarded = [f"if(size(template) >= {w}, {part}, array())" for w, part in zip(widths, parts)]
-    found = docs.withColumn("found", F.expr(f"concat({', '.join(guarded)})"))
+    found = docs.withColumn("found", F.expr(f"concat({', '.join(parts)})"))
+
+    def of_stream(kind: str, x: Column) -> Column:
+        taken = [F.when(x["stream"] == s, F.slice(f"{s}_{kind}", x["pos"], x["width"])) for s in STREAMS]
+        return F.coalesce(*taken)
+
     # Only the few words of the matches go on.
     shown = F.transform(
         "found",
         lambda x: F.struct(
+            x["stream"].alias("stream"),
             x["h"].alias("h"),
             x["width"].alias("width"),
             x["pos"].alias("pos"),
-            F.slice("template", x["pos"], x["width"]).alias("words"),
-            F.slice("slots", x["pos"], x["width"]).alias("values"),
+            of_stream("template", x).alias("words"),
+            of_stream("slots", x).alias("values"),
         ),
     )
     # A filter on the arrays, also the one Spark infers for a plain explode, would be pushed
@@ -133,7 +161,7 @@ def find_leaks(
     """``doc_id, item_id, coverage, n_windows, start_word, n_slots, verbatim``: the leaks.
 
     One row for each document and item that it leaks, with the best alignment (of equal
-    ones the first). An item leaks if at least ``coverage`` of its windows match on one
+    ones the first). An item leaks if at least ``coverage`` of its windows in a stream match on one
     alignment and their slots are consistent, or if windows without slots reach it alone.
     ``start_word`` counts the document's words without punctuation, from 0.
 
@@ -144,19 +172,19 @@ def find_leaks(
     rows = pick(docs, id_col, text_col).toDF("id", "text").withColumn("text", whole_text())
     bench = pick(items, "item_id", "text").toDF("id", "text").withColumn("text", whole_text())
     usable = materialize(benchmark_windows(bench.where("id is not null"), window), "benchmark")
-    sizes = usable.groupBy("item").agg(F.countDistinct("at").alias("n_windows"))
+    sizes = usable.groupBy("item", "stream").agg(F.countDistinct("at").alias("n_windows"))
     digests = sorted(r[0] for r in usable.select("h").distinct().toLocalIterator())
-    widths = sorted(r[0] for r in usable.select("width").distinct().collect())
+    widths = sorted(tuple(r) for r in usable.select("stream", "width").distinct().collect())
     templates = _templates(rows.where("id is not null"))
     passes = [
         _matches(templates, digests[at : at + SET_WINDOWS], widths)
         for at in range(0, max(len(digests), 1), SET_WINDOWS)
         if digests
-    ] or [_matches(templates.limit(0), [0], [window])]
+    ] or [_matches(templates.limit(0), [0], [("plain", window)])]
     found = materialize(reduce(DataFrame.union, passes), "template-matches")
     # The digest finds; the words confirm.
-    theirs = usable.select("h", "width", "item", "at", "literal", F.col("template").alias("words"), "slots")
-    paired = found.join(theirs, ["h", "width", "words"])
+    theirs = usable.select("stream", "h", "width", "item", "at", "literal", F.col("template").alias("words"), "slots")
+    paired = found.join(theirs, ["stream", "h", "width", "words"])
     slots = F.filter(
         F.transform(
             F.sequence(F.lit(0), F.size("words") - 1),
@@ -175,12 +203,13 @@ def find_leaks(
         paired.select(
             "doc",
             "item",
+            "stream",
             (F.col("pos") - F.col("at")).alias("diagonal"),
             "at",
             F.when(F.col("literal"), F.col("at")).alias("plain_at"),
             slots.alias("pairs"),
         )
-        .groupBy("doc", "item", "diagonal")
+        .groupBy("doc", "item", "stream", "diagonal")
         .agg(
             F.countDistinct("at").alias("matched"),
             F.countDistinct("plain_at").alias("plain"),
@@ -189,7 +218,7 @@ def find_leaks(
         )
     )
     kinds = F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["theirs"]))))
-    judged = aligned.join(sizes, "item").select(
+    judged = aligned.join(sizes, ["item", "stream"]).select(
         "doc",
         "item",
         (F.col("matched") / F.col("n_windows")).alias("coverage"),
@@ -203,15 +232,15 @@ def find_leaks(
     leaks = judged.where(
         ((F.col("coverage") >= coverage) & F.col("consistent")) | (F.col("plain") >= coverage)
     )
-    best = F.struct("coverage", (-F.col("start_word")).alias("early"), "start_word", "n_slots", "verbatim")
+    best = F.struct("coverage", (-F.col("start_word")).alias("early"), "start_word", "n_slots", "verbatim", "n_windows")
     return (
-        leaks.groupBy("doc", "item", "n_windows")
+        leaks.groupBy("doc", "item")
         .agg(F.max(best).alias("best"))
         .select(
             F.col("doc").alias("doc_id"),
             F.col("item").alias("item_id"),
             "best.coverage",
-            "n_windows",
+            "best.n_windows",
             "best.start_word",
             "best.n_slots",
             "best.verbatim",

@@ -232,6 +232,22 @@ def test_leaks_equal_brute_force(spark, sf_dir, docs):
     assert {(r.doc_id, r.item_id) for r in got} == want
 
 
+def test_leaks_in_other_capitals(spark):
+    item = "Tom has 12 apples, and Anna gives Bob 5 apples; how many, if Carl takes none, does Tom have?"
+    texts = {1: item.upper(), 2: item.lower(), 3: f"so {item.title()} ok", 4: "NOTHING OF IT IS HERE AT ALL, TOM"}
+    bench = spark.createDataFrame([(9, item)], "item_id long, text string")
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {(r.doc_id, r.coverage, r.verbatim) for r in find_leaks(frame, bench).collect()}
+    assert got == {(1, 1.0, True), (2, 1.0, True), (3, 1.0, True)}
+
+
+def test_leaks_equal_brute_force_whatever_the_capitals(spark, sf_dir, docs):
+    items = {r[0]: r[1].lower() for r in read(spark, sf_dir, "benchmark").select("item_id", "text").collect()}
+    want = {(d, i) for d, text in docs.items() for i, item in items.items() if item in (text or "").lower()}
+    got = LLM_CHECKS["op1_decontamination"][0](spark, sf_dir).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+
+
 def test_licenses_equal_brute_force(spark, sf_dir, docs):
     notices = {n: t for n, t in TEMPLATES.items() if n.endswith("notice")}
     want = {(d, n) for d, text in docs.items() for n, notice in notices.items() if notice in text}
