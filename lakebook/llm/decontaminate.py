@@ -37,6 +37,17 @@ UNITS = (
 ).split()
 # Streams of windows and whether names are placeholders in them.
 STREAMS = {"named": True, "plain": False}
+# Items without a usable window are one window of all their words as they are.
+WHOLE = "whole"
+# Words that start a sentence with a capital and are no names; any other word may be one.
+STARTERS = (
+    "a all also although an and any are as at be because before both but by can compute could "
+    "determine did do does each every finally find first for from given had has have he her his "
+    "how however i if in is it its let many may might must next no nor not now of on or our "
+    "shall she should since so some solve suppose than that the their then there therefore these "
+    "they this those though thus to until was we well were what when where which while who whom "
+    "whose why will with would yes you your after during"
+).split()
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
 # Marks put before names and for separators inside numbers while the punctuation goes.
 _NAME, _POINT = "\x01", "\x02"
@@ -49,8 +60,12 @@ def canonical(text: Column, names: bool = True) -> tuple[Column, Column]:
     """
     named = F.translate(text, _NAME + _POINT, "")
     if names:
-        # A capital after a small letter or comma: inside a sentence, so a name.
-        named = F.regexp_replace(named, r"(?<=[\p{Ll},;][ ])(\p{Lu}\p{L}+)", f"{_NAME}$1")
+        # A capital after a small letter or comma: inside a sentence, so a name. Elsewhere it is
+        # one too, unless the word is a usual first one. What is around a passage has no say.
+        inside = r"(?<=[\p{Ll},;][ ])"
+        usual = rf"(?!(?i:{'|'.join(STARTERS)})(?![\p{{L}}\p{{N}}]))"
+        anywhere = rf"(?<![^{SPACE}\"“‘«„(\[¿¡]){usual}"
+        named = F.regexp_replace(named, rf"(?:{inside}|{anywhere})(?=\p{{Lu}}\p{{L}})", _NAME)
     pointed = F.regexp_replace(named, r"(?<=\d)[.,:](?=\d)", _POINT)
     bare = F.regexp_replace(pointed, rf"[^\p{{L}}\p{{N}}{SPACE}{_NAME}{_POINT}]+", "")
     values = F.lower(F.translate(bare, _POINT + _NAME, "."))
@@ -64,12 +79,18 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, f"[{SPACE}]+"), "")
 
 
-def _templates(rows: DataFrame) -> DataFrame:
-    """``id`` and, for each stream, words of its template and of the values beside them."""
+def _templates(rows: DataFrame, whole: bool) -> DataFrame:
+    """``id`` and, for each stream, words of its template and of the values beside them.
+
+    The ``whole`` stream has the values in both places.
+    """
     columns = ["id"]
     for stream, names in STREAMS.items():
         template, values = canonical(F.col("text"), names)
         columns += [_words(template).alias(f"{stream}_template"), _words(values).alias(f"{stream}_slots")]
+    if whole:
+        words = _words(canonical(F.col("text"), names=False)[1])
+        columns += [words.alias(f"{WHOLE}_template"), words.alias(f"{WHOLE}_slots")]
     return rows.select(*columns)
 
 
@@ -80,9 +101,11 @@ def _digest(stream: str, window: Column) -> Column:
 def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """``stream, h, width, item, at, literal, template, slots`` of every usable window.
 
-    An item shorter than a window is one window of its own length.
+    An item shorter than a window is one window of its own length. An item that has no
+    usable window in any stream is one of all its words; ``h`` and ``width`` are then those
+    of its first words, at most ``window``.
     """
-    cut = _templates(items)
+    cut = _templates(items, whole=True)
     parts = []
     for stream in STREAMS:
         one = cut.select("id", F.col(f"{stream}_template").alias("template"), F.col(f"{stream}_slots").alias("slots"))
@@ -111,13 +134,32 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
                 "slots",
             )
         )
-    return reduce(DataFrame.union, parts)
+    usable = reduce(DataFrame.union, parts)
+    words = F.col(f"{WHOLE}_template")
+    width = F.least(F.lit(window), F.size(words))
+    rest = cut.where(F.size(words) >= LEAST_WORDS).join(
+        usable.select(F.col("item").alias("id")).distinct(), "id", "left_anti"
+    )
+    whole = rest.select(
+        F.lit(WHOLE).alias("stream"),
+        _digest(WHOLE, F.slice(words, F.lit(1), width)).alias("h"),
+        width.alias("width"),
+        F.col("id").alias("item"),
+        F.lit(1).alias("at"),
+        F.lit(True).alias("literal"),
+        words.alias("template"),
+        words.alias("slots"),
+    )
+    return usable.union(whole)
 
 
-def _matches(docs: DataFrame, digests: list[int], widths: list[tuple[str, int]]) -> DataFrame:
+def _matches(
+    docs: DataFrame, digests: list[int], widths: list[tuple[str, int]], longest: int
+) -> DataFrame:
     """``doc, stream, h, width, pos, words, values`` of the documents' windows in ``digests``.
 
-    ``widths`` has each stream and width that the benchmark has windows of.
+    ``widths`` has each stream and width that the benchmark has windows of. ``words`` of the
+    whole stream go on to ``longest``.
     """
     known = ",".join(f"{d}L" for d in digests)
     parts = [
@@ -128,8 +170,13 @@ def _matches(docs: DataFrame, digests: list[int], widths: list[tuple[str, int]])
     ]
     found = docs.withColumn("found", F.expr(f"concat({', '.join(parts)})"))
 
+    used = sorted({s for s, _ in widths})
+
+    def length(stream: str, x: Column) -> Column:
+        return F.lit(longest) if stream == WHOLE else x["width"]
+
     def of_stream(kind: str, x: Column) -> Column:
-        taken = [F.when(x["stream"] == s, F.slice(f"{s}_{kind}", x["pos"], x["width"])) for s in STREAMS]
+        taken = [F.when(x["stream"] == s, F.slice(f"{s}_{kind}", x["pos"], length(s, x))) for s in used]
         return F.coalesce(*taken)
 
     # Only the few words of the matches go on.
@@ -165,6 +212,9 @@ def find_leaks(
     alignment and their slots are consistent, or if windows without slots reach it alone.
     ``start_word`` counts the document's words without punctuation, from 0.
 
+    An item without a usable window (eight words of which four are free, or all of a shorter
+    item) leaks if all its words and numbers stand there in a row; with other numbers it is
+    not found. Where all is in capitals, names can't be told: other names are not found there.
     Null and empty texts, items under four words and rows with a null id match nothing.
     Of repeated rows, each pair is reported once. Either table may be empty. Other columns
     are ignored.
@@ -175,16 +225,19 @@ def find_leaks(
     sizes = usable.groupBy("item", "stream").agg(F.countDistinct("at").alias("n_windows"))
     digests = sorted(r[0] for r in usable.select("h").distinct().toLocalIterator())
     widths = sorted(tuple(r) for r in usable.select("stream", "width").distinct().collect())
-    templates = _templates(rows.where("id is not null"))
+    longest = usable.where(F.col("stream") == WHOLE).agg(F.max(F.size("template"))).first()[0]
+    templates = _templates(rows.where("id is not null"), whole=longest is not None)
     passes = [
-        _matches(templates, digests[at : at + SET_WINDOWS], widths)
+        _matches(templates, digests[at : at + SET_WINDOWS], widths, longest or 0)
         for at in range(0, max(len(digests), 1), SET_WINDOWS)
         if digests
-    ] or [_matches(templates.limit(0), [0], [("plain", window)])]
+    ] or [_matches(templates.limit(0), [0], [("plain", window)], 0)]
     found = materialize(reduce(DataFrame.union, passes), "template-matches")
     # The digest finds; the words confirm.
-    theirs = usable.select("stream", "h", "width", "item", "at", "literal", F.col("template").alias("words"), "slots")
-    paired = found.join(theirs, ["stream", "h", "width", "words"])
+    theirs = usable.select("stream", "h", "width", "item", "at", "literal", F.col("template").alias("theirs"), "slots")
+    same = F.slice("words", F.lit(1), F.size("theirs")) == F.col("theirs")
+    paired = found.join(theirs, ["stream", "h", "width"]).where(same).drop("words")
+    paired = paired.withColumnRenamed("theirs", "words")
     slots = F.filter(
         F.transform(
             F.sequence(F.lit(0), F.size("words") - 1),

@@ -248,6 +248,26 @@ def test_leaks_equal_brute_force_whatever_the_capitals(spark, sf_dir, docs):
     assert {(r.doc_id, r.item_id) for r in got} == want
 
 
+def test_names_at_the_start_and_items_without_a_window(spark):
+    items = {
+        9: "Tom has 12 apples. Tom gives Anna 5 apples. How many apples does Tom have left?",
+        10: "What is 12 + 35 * 2 - 7?",
+        11: "Add 1 2 3 4 5 6 7 8 9 10",
+    }
+    texts = {
+        1: "Read this. Bob has 30 apples. Bob gives Mary 7 apples. How many apples does Bob have left? Ok",
+        2: "Read this. Bob has 30 apples. Bob gives Mary 7 apples. How many apples does Zed have left? Ok",
+        3: "They ask: what is 12 + 35 * 2 - 7? Nobody knows.",
+        4: "They ask: what is 12 + 35 * 2 - 8? Nobody knows.",
+        5: "please add 1 2 3 4 5 6 7 8 9 10 now",
+        6: "please add 1 2 3 4 5 6 7 8 9 11 now",
+    }
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.verbatim) for r in find_leaks(frame, bench).collect()}
+    assert got == {(1, 9, False), (3, 10, True), (5, 11, True)}
+
+
 def test_licenses_equal_brute_force(spark, sf_dir, docs):
     notices = {n: t for n, t in TEMPLATES.items() if n.endswith("notice")}
     want = {(d, n) for d, text in docs.items() for n, notice in notices.items() if notice in text}
