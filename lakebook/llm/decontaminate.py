@@ -4,7 +4,8 @@ Numbers, units and names become typed placeholders, so a question whose paramete
 changed keeps its template. Windows of the template are matched by hash against those of
 the benchmark. A second stream of windows, of the plain lower-cased words, has no names: it
 finds what was copied in other capitals, where names can't be told. Each stream is judged
-on its own. Matches of one document and item that lie on one alignment are put together; the values behind the placeholders must then map consistently (one value of the
+on its own. Matches of one document and item whose alignments differ by a few words are put
+together, as words may have been put in or left out; the values behind the placeholders must then map consistently (one value of the
 item always to the same value of the document), which tells a re-parameterised question
 from a text that only has its form.
 
@@ -49,16 +50,21 @@ STARTERS = (
     "whose why will with would yes you your after during"
 ).split()
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
-# Marks put before names and for separators inside numbers while the punctuation goes.
-_NAME, _POINT = "\x01", "\x02"
+# Alignments of one leak differ by at most so many words, or a quarter of the item's windows.
+DRIFT = 8
+# Marks while the punctuation goes: before names, for separators inside numbers, between
+# words of one placeholder, after words with punctuation, before units.
+_NAME, _POINT, _JOIN, _BREAK, _UNIT = MARKS = "\x01\x02\x03\x04\x05"
 
 
 def canonical(text: Column, names: bool = True) -> tuple[Column, Column]:
     """The template of a text and, word for word beside it, its lower-cased values.
 
-    Without ``names`` it is the same whatever the capitals.
+    Neighbouring names and neighbouring numbers are one placeholder, whose value has all of
+    them. A unit is a word of its own also where it is written to its number. Without
+    ``names`` the template is the same whatever the capitals.
     """
-    named = F.translate(text, _NAME + _POINT, "")
+    named = F.translate(text, MARKS, "")
     if names:
         # A capital after a small letter or comma: inside a sentence, so a name. Elsewhere it is
         # one too, unless the word is a usual first one. What is around a passage has no say.
@@ -67,12 +73,26 @@ def canonical(text: Column, names: bool = True) -> tuple[Column, Column]:
         anywhere = rf"(?<![^{SPACE}\"“‘«„(\[¿¡]){usual}"
         named = F.regexp_replace(named, rf"(?:{inside}|{anywhere})(?=\p{{Lu}}\p{{L}})", _NAME)
     pointed = F.regexp_replace(named, r"(?<=\d)[.,:](?=\d)", _POINT)
-    bare = F.regexp_replace(pointed, rf"[^\p{{L}}\p{{N}}{SPACE}{_NAME}{_POINT}]+", "")
-    values = F.lower(F.translate(bare, _POINT + _NAME, "."))
-    numbered = F.regexp_replace(bare, rf"(?<![\p{{L}}\p{{N}}])\d[\d{_POINT}]*", NUMBER)
+    if names:
+        pointed = F.regexp_replace(pointed, rf"[.,;:!?)]+(?=[{SPACE}])", _BREAK)
+    bare = F.regexp_replace(pointed, rf"[^\p{{L}}\p{{N}}{SPACE}{MARKS}]+", "")
+    number, gap = rf"\d[\d{_POINT}]*", f"[{SPACE}{_BREAK}]"
     units = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
-    united = F.regexp_replace(numbered, rf"(?<=<num>)([ ]?)(?i:{units})(?![\p{{L}}\p{{N}}])", f"$1{UNIT}")
-    return F.lower(F.regexp_replace(united, rf"{_NAME}\p{{L}}+", NAME)), values
+    split = F.regexp_replace(
+        bare, rf"(?<![\p{{L}}\p{{N}}])({number}){gap}*((?i:{units}))(?![\p{{L}}\p{{N}}])", f"$1 {_UNIT}$2"
+    )
+    # Numbers are neighbours whatever stands between them, names only without punctuation.
+    joined = F.regexp_replace(
+        split, rf"(?<![\p{{L}}\p{{N}}])({number}){gap}+(?={number}(?![\p{{L}}\p{{N}}]))", f"$1{_JOIN}"
+    )
+    if names:
+        joined = F.regexp_replace(joined, rf"({_NAME}\p{{L}}+)[{SPACE}]+(?={_NAME})", f"$1{_JOIN}")
+    values = F.lower(F.translate(joined, _POINT + _JOIN + _NAME + _BREAK + _UNIT, "." + _JOIN))
+    numbered = F.regexp_replace(joined, rf"(?<![\p{{L}}\p{{N}}]){number}(?:{_JOIN}{number})*", NUMBER)
+    template = F.regexp_replace(numbered, rf"{_UNIT}\p{{L}}+", UNIT)
+    if names:
+        template = F.regexp_replace(template, rf"{_NAME}\p{{L}}+(?:{_JOIN}{_NAME}\p{{L}}+)*", NAME)
+    return F.lower(F.translate(template, MARKS, "")), values
 
 
 def _words(text: Column) -> Column:
@@ -89,7 +109,7 @@ def _templates(rows: DataFrame, whole: bool) -> DataFrame:
         template, values = canonical(F.col("text"), names)
         columns += [_words(template).alias(f"{stream}_template"), _words(values).alias(f"{stream}_slots")]
     if whole:
-        words = _words(canonical(F.col("text"), names=False)[1])
+        words = _words(F.translate(canonical(F.col("text"), names=False)[1], _JOIN, " "))
         columns += [words.alias(f"{WHOLE}_template"), words.alias(f"{WHOLE}_slots")]
     return rows.select(*columns)
 
@@ -156,8 +176,9 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
 def _matches(
     docs: DataFrame, digests: list[int], widths: list[tuple[str, int]], longest: int
 ) -> DataFrame:
-    """``doc, stream, h, width, pos, words, values`` of the documents' windows in ``digests``.
+    """``doc, stream, h, width, pos, words, values, before`` of windows in ``digests``.
 
+    ``before`` counts the words before a window, each of a placeholder's for itself.
     ``widths`` has each stream and width that the benchmark has windows of. ``words`` of the
     whole stream go on to ``longest``.
     """
@@ -179,6 +200,13 @@ def _matches(
         taken = [F.when(x["stream"] == s, F.slice(f"{s}_{kind}", x["pos"], length(s, x))) for s in used]
         return F.coalesce(*taken)
 
+    def before(x: Column) -> Column:
+        start = x["pos"] - 1
+        text = [
+            F.when(x["stream"] == s, F.array_join(F.slice(f"{s}_slots", F.lit(1), start), " ")) for s in used
+        ]
+        return start + F.size(F.split(F.coalesce(*text), _JOIN)) - 1
+
     # Only the few words of the matches go on.
     shown = F.transform(
         "found",
@@ -189,6 +217,7 @@ def _matches(
             x["pos"].alias("pos"),
             of_stream("template", x).alias("words"),
             of_stream("slots", x).alias("values"),
+            before(x).alias("before"),
         ),
     )
     # A filter on the arrays, also the one Spark infers for a plain explode, would be pushed
@@ -197,6 +226,23 @@ def _matches(
     return rows.where("m is not null").select("doc", "m.*")
 
 
+def _pairs(matches: Column) -> Column:
+    """The distinct slots of matches, with both values."""
+    return F.array_distinct(F.flatten(F.transform(matches, lambda m: m["pairs"])))
+
+
+def _kinds(pairs: Column) -> Column:
+    """How many values of the item stand in the slots; as many as pairs if these are consistent."""
+    return F.size(F.array_distinct(F.transform(pairs, lambda p: F.struct(p["kind"], p["theirs"]))))
+
+
+def _joined(done: Column, more: Column) -> Column:
+    """``done`` with the matches of windows it has not, if all slots are then consistent."""
+    new = F.filter(more, lambda m: ~F.exists(done, lambda d: d["at"] == m["at"]))
+    both = F.concat(done, new)
+    return F.when(_kinds(_pairs(both)) == F.size(_pairs(both)), both).otherwise(done)
+
+
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -207,10 +253,11 @@ def find_leaks(
 ) -> DataFrame:
     """``doc_id, item_id, coverage, n_windows, start_word, n_slots, verbatim``: the leaks.
 
-    One row for each document and item that it leaks, with the best alignment (of equal
-    ones the first). An item leaks if at least ``coverage`` of its windows in a stream match on one
-    alignment and their slots are consistent, or if windows without slots reach it alone.
-    ``start_word`` counts the document's words without punctuation, from 0.
+    One row for each document and item that it leaks, with the best place (of equal ones the
+    first). An item leaks if at least ``coverage`` of its windows in a stream match on
+    alignments of one band and their slots are consistent, or if windows without slots reach
+    it alone. ``start_word`` counts the document's words without punctuation, from 0; a unit
+    is a word.
 
     An item without a usable window (eight words of which four are free, or all of a shorter
     item) leaks if all its words and numbers stand there in a row; with other numbers it is
@@ -258,32 +305,52 @@ def find_leaks(
             "item",
             "stream",
             (F.col("pos") - F.col("at")).alias("diagonal"),
-            "at",
-            F.when(F.col("literal"), F.col("at")).alias("plain_at"),
-            slots.alias("pairs"),
+            F.struct("at", "before", "literal", slots.alias("pairs")).alias("match"),
         )
         .groupBy("doc", "item", "stream", "diagonal")
+        .agg(F.collect_set("match").alias("matches"))
+        .join(sizes, ["item", "stream"])
+    )
+    # Bands are two drifts wide and begin at every drift: alignments that differ by no more
+    # than that share one.
+    drift = F.greatest(F.lit(DRIFT), F.floor(F.col("n_windows") / 4))
+    band = F.floor(F.col("diagonal") / drift)
+    bands = (
+        aligned.withColumn("band", F.explode(F.array(band, band - 1)))
+        .groupBy("doc", "item", "stream", "n_windows", "band")
         .agg(
-            F.countDistinct("at").alias("matched"),
-            F.countDistinct("plain_at").alias("plain"),
-            F.min("at").alias("first"),
-            F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
+            F.sort_array(
+                F.collect_list(F.struct((-F.size("matches")).alias("fewer"), "diagonal", "matches"))
+            ).alias("found")
         )
+        .withColumn("all", F.flatten("found.matches"))
     )
-    kinds = F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["theirs"]))))
-    judged = aligned.join(sizes, ["item", "stream"]).select(
-        "doc",
-        "item",
-        (F.col("matched") / F.col("n_windows")).alias("coverage"),
-        (F.col("plain") / F.col("n_windows")).alias("plain"),
-        "n_windows",
-        (F.col("diagonal") + F.col("first") - 1).alias("start_word"),
-        kinds.cast("int").alias("n_slots"),
-        (kinds == F.size("pairs")).alias("consistent"),
-        F.forall("pairs", lambda p: p["theirs"] == p["ours"]).alias("verbatim"),
+    # The alignments of a band by the number of their matches: each adds the windows that
+    # are missing so far, if their slots agree with those taken.
+    taken = F.aggregate(
+        "found", F.filter("all", lambda m: F.lit(False)), lambda done, one: _joined(done, one["matches"])
     )
-    leaks = judged.where(
-        ((F.col("coverage") >= coverage) & F.col("consistent")) | (F.col("plain") >= coverage)
+
+    def places(matches: Column) -> Column:
+        return F.size(F.array_distinct(F.transform(matches, lambda m: m["at"]))) / F.col("n_windows")
+
+    counted = bands.withColumn("taken", taken).withColumn("coverage", places(F.col("taken")))
+    plain = F.filter("all", lambda m: m["literal"])
+    shown = F.when(F.col("coverage") >= coverage, F.col("taken")).otherwise(F.col("all"))
+    leaks = (
+        counted.withColumn("plain", places(plain))
+        .where((F.col("coverage") >= coverage) | (F.col("plain") >= coverage))
+        .withColumn("shown", shown)
+        .withColumn("pairs", _pairs(F.col("shown")))
+        .select(
+            "doc",
+            "item",
+            F.greatest("coverage", "plain").alias("coverage"),
+            "n_windows",
+            F.array_min(F.transform("shown", lambda m: F.struct(m["at"].alias("at"), m["before"].alias("before"))))["before"].alias("start_word"),
+            _kinds(F.col("pairs")).cast("int").alias("n_slots"),
+            F.forall("pairs", lambda p: p["theirs"] == p["ours"]).alias("verbatim"),
+        )
     )
     best = F.struct("coverage", (-F.col("start_word")).alias("early"), "start_word", "n_slots", "verbatim", "n_windows")
     return (

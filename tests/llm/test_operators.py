@@ -268,6 +268,40 @@ def test_names_at_the_start_and_items_without_a_window(spark):
     assert got == {(1, 9, False), (3, 10, True), (5, 11, True)}
 
 
+def test_leaks_with_words_put_in_or_left_out(spark):
+    item = (
+        "Tom drives 60 km from the old mill to the grey harbour, and meets Anna there at 5 o'clock; "
+        "how many km did Tom drive before the sun went down behind the hills that day?"
+    )
+    swapped = item.replace("Tom", "Bob").replace("60", "75").replace("5 o'clock", "7 o'clock")
+    texts = {
+        1: item.replace("there at", "there just at"),
+        2: item.replace("meets Anna there", "meets there"),
+        3: swapped.replace("Anna", "Mary Ann").replace("75 km", "75km"),
+        4: swapped.replace("Anna", "Mary Ann").replace("there at", "there just at"),
+        5: "Well so " + item,
+        6: swapped.replace("did Bob", "did Zed").replace("there at", "there just at"),
+    }
+    bench = spark.createDataFrame([(9, item)], "item_id long, text string")
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r for r in find_leaks(frame, bench).collect()}
+    assert set(got) == {1, 2, 3, 4, 5}
+    assert got[3].coverage == got[5].coverage == 1.0 and got[5].start_word == 2
+    assert got[5].verbatim and not got[3].verbatim and not got[4].verbatim
+
+
+def test_repeated_forms_do_not_spoil_an_alignment(spark):
+    item = " ".join(f"So {n} has just {i} red apples in the box." for i, n in enumerate(["Tom", "Anna", "Carl", "Eve"], 3))
+    other = item.replace("Tom", "Bob").replace("6 red", "9 red")
+    words = other.split()
+    frame = spark.createDataFrame(
+        [(1, other), (2, " ".join([*words[:20], "really", *words[20:]]))], "doc_id long, text string"
+    )
+    bench = spark.createDataFrame([(9, item)], "item_id long, text string")
+    got = {r.doc_id: r.coverage for r in find_leaks(frame, bench).collect()}
+    assert got[1] == 1.0 and 0.5 <= got[2] < 1.0
+
+
 def test_licenses_equal_brute_force(spark, sf_dir, docs):
     notices = {n: t for n, t in TEMPLATES.items() if n.endswith("notice")}
     want = {(d, n) for d, text in docs.items() for n, notice in notices.items() if notice in text}
