@@ -71,7 +71,7 @@ def canonical(text: Column, names: bool = True) -> tuple[Column, Column]:
         inside = r"(?<=[\p{Ll},;][ ])"
         usual = rf"(?!(?i:{'|'.join(STARTERS)})(?![\p{{L}}\p{{N}}]))"
         anywhere = rf"(?<![^{SPACE}\"“‘«„(\[¿¡]){usual}"
-        named = F.regexp_replace(named, rf"(?:{inside}|{anywhere})(?=\p{{Lu}}\p{{L}})", _NAME)
+        named = F.regexp_replace(named, rf"(?=\p{{Lu}}\p{{L}})(?:{inside}|{anywhere})", _NAME)
     pointed = F.regexp_replace(named, r"(?<=\d)[.,:](?=\d)", _POINT)
     if names:
         pointed = F.regexp_replace(pointed, rf"[.,;:!?)]+(?=[{SPACE}])", _BREAK)
@@ -174,19 +174,26 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _matches(
-    docs: DataFrame, digests: list[int], widths: list[tuple[str, int]], longest: int
+    docs: DataFrame, digests: list[tuple[str, int, int]], longest: int
 ) -> DataFrame:
     """``doc, stream, h, width, pos, words, values, before`` of windows in ``digests``.
 
     ``before`` counts the words before a window, each of a placeholder's for itself.
-    ``widths`` has each stream and width that the benchmark has windows of. ``words`` of the
-    whole stream go on to ``longest``.
+    Of ``digests`` each has its stream and width. ``words`` of the whole stream go on to
+    ``longest``.
     """
-    known = ",".join(f"{d}L" for d in digests)
+    # Each stream and width is tested against its own digests only.
+    known = {k: ",".join(f"{d}L" for s, w, d in digests if (s, w) == k) for k in {x[:2] for x in digests}}
+    widths = sorted(known)
+
+    def digest(stream: str, width: int) -> str:
+        # Word by word, as slice() copies the whole array each time; the digest is the same.
+        return f"xxhash64({', '.join(f'{stream}_template[i + {k - 1}]' for k in range(width))}, '{stream}')"
+
     parts = [
-        f"if(size({s}_template) >= {w}, filter(transform(sequence(1, size({s}_template) - {w - 1}), "
-        f"i -> named_struct('h', xxhash64(slice({s}_template, i, {w}), '{s}'), 'stream', '{s}', 'width', {w}, 'pos', i)), "
-        f"x -> x.h in ({known})), array())"
+        f"if(size({s}_template) >= {w}, transform("
+        f"filter(sequence(1, size({s}_template) - {w - 1}), i -> {digest(s, w)} in ({known[s, w]})), "
+        f"i -> named_struct('h', {digest(s, w)}, 'stream', '{s}', 'width', {w}, 'pos', i)), array())"
         for s, w in widths
     ]
     found = docs.withColumn("found", F.expr(f"concat({', '.join(parts)})"))
@@ -270,15 +277,14 @@ def find_leaks(
     bench = pick(items, "item_id", "text").toDF("id", "text").withColumn("text", whole_text())
     usable = materialize(benchmark_windows(bench.where("id is not null"), window), "benchmark")
     sizes = usable.groupBy("item", "stream").agg(F.countDistinct("at").alias("n_windows"))
-    digests = sorted(r[0] for r in usable.select("h").distinct().toLocalIterator())
-    widths = sorted(tuple(r) for r in usable.select("stream", "width").distinct().collect())
+    digests = sorted(tuple(r) for r in usable.select("stream", "width", "h").distinct().toLocalIterator())
     longest = usable.where(F.col("stream") == WHOLE).agg(F.max(F.size("template"))).first()[0]
     templates = _templates(rows.where("id is not null"), whole=longest is not None)
     passes = [
-        _matches(templates, digests[at : at + SET_WINDOWS], widths, longest or 0)
+        _matches(templates, digests[at : at + SET_WINDOWS], longest or 0)
         for at in range(0, max(len(digests), 1), SET_WINDOWS)
         if digests
-    ] or [_matches(templates.limit(0), [0], [("plain", window)], 0)]
+    ] or [_matches(templates.limit(0), [("plain", window, 0)], 0)]
     found = materialize(reduce(DataFrame.union, passes), "template-matches")
     # The digest finds; the words confirm.
     theirs = usable.select("stream", "h", "width", "item", "at", "literal", F.col("template").alias("theirs"), "slots")
