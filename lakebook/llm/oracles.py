@@ -151,3 +151,17 @@ select doc_id, len(words) as n_words, len(words) - coalesce(n, 0) as n_removed,
   sha256(coalesce(kept.text, '')) as kept_sha256
 from base left join kept using (doc_id)
 """
+
+
+def exact_sql() -> str:
+    return """
+        with texts as (select doc_id, coalesce(text, '') as text from documents)
+        select
+            doc_id,
+            max(doc_id) over same as keep_id,
+            count(*) over same as group_size,
+            doc_id = max(doc_id) over same as kept,
+            sha256(text) as text_sha256
+        from texts
+        window same as (partition by text)
+    """

@@ -7,15 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align_documents
 from .chat import prefix_target_examples, read_back
 from .common import SPACE, read
 from .decontaminate import find_leaks
+from .exact import exact_groups
 from .licenses import scan_licenses
-from .oracles import chat_sql, quality_sql, substring_sql, url_sql
+from .oracles import chat_sql, exact_sql, quality_sql, substring_sql, url_sql
 from .packing import pack
 from .quality import quality_verdict
 from .sharding import shard_by_bytes
 from .simhash import simhash_components
+from .spelling import spelling_variants
 from .substrings import dedup_substrings
 from .toxicity import score_toxicity
 from .urls import build_index, filter_urls
@@ -38,11 +41,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-def tokenizer_path() -> str:
-    """The vocabulary file of the packing query; it stays where it is installed."""
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A vocabulary file, by default that of the packing query; it stays where it is installed."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +110,20 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read(spark, sf_dir, "documents"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = exact_groups(read(spark, sf_dir, "documents"))
+    return groups.withColumnRenamed("digest", "text_sha256")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return align_documents(docs, tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 LLM_CHECKS: dict[str, tuple[Query, str | None]] = {
     "op1_decontamination": (op1_decontamination, None),
     "op2_packing": (op2_packing, None),
@@ -118,4 +135,7 @@ LLM_CHECKS: dict[str, tuple[Query, str | None]] = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_simhash": (op9_simhash, None),
     "op10_shards": (op10_shards, None),
+    "op11_spelling": (op11_spelling, None),
+    "op12_exact_dedup": (op12_exact_dedup, exact_sql()),
+    "op13_alignment": (op13_alignment, None),
 }
