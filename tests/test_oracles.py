@@ -1,14 +1,15 @@
-"""Every registered query against its SQL oracle."""
+"""Every lake query against its SQL oracle."""
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from lakebook.checks import CHECKS
 from tests.support import compare
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(CHECKS))
 def test_matches_oracle(name, spark, duck, sf_dir):
-    assert compare(queries()[name](spark, sf_dir), duck, oracle_sql().get(name)) is None
+    assert compare(CHECKS[name].run(spark, sf_dir), duck, CHECKS[name].sql) is None
 
 
 def test_entry_is_the_whole_book(spark):

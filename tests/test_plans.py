@@ -6,7 +6,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from lakebook.checks import CHECKS
 from lakebook.checks import bindings as B
 from lakebook.checks.lake import MONTHLY, accidents_by_month
 from lakebook.config import ProductConfig
@@ -107,8 +107,8 @@ def test_book_reads_rows_in_one_hash_aggregate(spark, sf_dir):
 WHOLE_RUNS = {"control_rows", "run_month_stage"}
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - WHOLE_RUNS))
+@pytest.mark.parametrize("name", sorted(set(CHECKS) - WHOLE_RUNS))
 def test_no_python_and_no_cross_join(name, spark):
-    text = plan(queries()[name](spark, "/root/testdata/sf0.001"))
+    text = plan(CHECKS[name].run(spark, "/root/testdata/sf0.001"))
     for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"):
         assert word not in text
