@@ -9,13 +9,15 @@ together, as words may have been put in or left out; the values behind the place
 item always to the same value of the document), which tells a re-parameterised question
 from a text that only has its form.
 
-Only DataFrame functions. A document is read once: windows are tested against a constant
-set of benchmark digests inside the row, so only matching windows ever become rows. The
-set holds at most ``SET_WINDOWS`` digests; a larger benchmark takes several passes.
+Only DataFrame functions. Each stream hashes its windows in the task that reads the text and
+hash-joins them with the benchmark's, which are broadcast where their written size allows;
+only matches go on. The values behind the placeholders are built for texts with a match.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,7 +30,6 @@ WINDOW = 8
 # Items of fewer words identify nothing; windows need as many words besides placeholders.
 LEAST_WORDS = 4
 COVERAGE = 0.5
-SET_WINDOWS = 20_000
 # Fixed list of measuring units that may follow a number.
 UNITS = (
     "mm cm dm m km in ft yd mi mg g kg t oz lb lbs ml cl l gal s sec min h hr hrs day days "
@@ -57,6 +58,66 @@ DRIFT = 8
 _NAME, _POINT, _JOIN, _BREAK, _UNIT = MARKS = "\x01\x02\x03\x04\x05"
 
 
+@dataclass(frozen=True)
+class Step:
+    """One replacement. Texts that ``gate`` rules out are the same afterwards."""
+
+    gate: Callable[[Column], Column] | None
+    apply: Callable[[Column], Column]
+
+
+def _has(mark: str) -> Callable[[Column], Column]:
+    return lambda text: F.contains(text, F.lit(mark))
+
+
+def _digits(text: Column) -> Column:
+    return text.rlike("[0-9]")
+
+
+def _replace(pattern: str, by: str) -> Callable[[Column], Column]:
+    return lambda text: F.regexp_replace(text, pattern, by)
+
+
+def _marked(names: bool) -> list[Step]:
+    """Steps to a text without punctuation whose names, numbers and units carry marks."""
+    number, gap = rf"\d[\d{_POINT}]*", f"[{SPACE}{_BREAK}]"
+    units = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
+    # A capital after a small letter or comma: inside a sentence, so a name. Elsewhere it is
+    # one too, unless the word is a usual first one. What is around a passage has no say.
+    inside = r"(?<=[\p{Ll},;][ ])"
+    usual = rf"(?!(?i:{'|'.join(STARTERS)})(?![\p{{L}}\p{{N}}]))"
+    anywhere = rf"(?<![^{SPACE}\"“‘«„(\[¿¡]){usual}"
+    steps = [
+        Step(lambda text: text.rlike(f"[{MARKS}]"), _replace(f"[{MARKS}]+", "")),
+        Step(None, _replace(rf"(?=\p{{Lu}}\p{{L}})(?:{inside}|{anywhere})", _NAME)) if names else None,
+        Step(_digits, _replace(r"(?<=\d)[.,:](?=\d)", _POINT)),
+        Step(None, _replace(rf"[.,;:!?)]+(?=[{SPACE}])", _BREAK)) if names else None,
+        Step(None, _replace(rf"[^\p{{L}}\p{{N}}{SPACE}{MARKS}]+", "")),
+        Step(_digits, _replace(rf"(?<![\p{{L}}\p{{N}}])({number}){gap}*((?i:{units}))(?![\p{{L}}\p{{N}}])", f"$1 {_UNIT}$2")),
+        # Numbers are neighbours whatever stands between them, names only without punctuation.
+        Step(_digits, _replace(rf"(?<![\p{{L}}\p{{N}}])({number}){gap}+(?={number}(?![\p{{L}}\p{{N}}]))", f"$1{_JOIN}")),
+        Step(_has(_NAME), _replace(rf"({_NAME}\p{{L}}+)[{SPACE}]+(?={_NAME})", f"$1{_JOIN}")) if names else None,
+    ]
+    return [step for step in steps if step]
+
+
+def _template(names: bool) -> list[Step]:
+    """Steps from a marked text to its template."""
+    number = rf"\d[\d{_POINT}]*"
+    steps = [
+        Step(_digits, _replace(rf"(?<![\p{{L}}\p{{N}}]){number}(?:{_JOIN}{number})*", NUMBER)),
+        Step(_has(_UNIT), _replace(rf"{_UNIT}\p{{L}}+", UNIT)),
+        Step(_has(_NAME), _replace(rf"{_NAME}\p{{L}}+(?:{_JOIN}{_NAME}\p{{L}}+)*", NAME)) if names else None,
+        Step(lambda text: text.rlike(f"[{MARKS}]"), _replace(f"[{MARKS}]+", "")),
+        Step(None, F.lower),
+    ]
+    return [step for step in steps if step]
+
+
+def _values(marked: Column) -> Column:
+    return F.lower(F.translate(marked, _POINT + _JOIN + _NAME + _BREAK + _UNIT, "." + _JOIN))
+
+
 def canonical(text: Column, names: bool = True) -> tuple[Column, Column]:
     """The template of a text and, word for word beside it, its lower-cased values.
 
@@ -64,47 +125,30 @@ def canonical(text: Column, names: bool = True) -> tuple[Column, Column]:
     them. A unit is a word of its own also where it is written to its number. Without
     ``names`` the template is the same whatever the capitals.
     """
-    named = F.translate(text, MARKS, "")
-    if names:
-        # A capital after a small letter or comma: inside a sentence, so a name. Elsewhere it is
-        # one too, unless the word is a usual first one. What is around a passage has no say.
-        inside = r"(?<=[\p{Ll},;][ ])"
-        usual = rf"(?!(?i:{'|'.join(STARTERS)})(?![\p{{L}}\p{{N}}]))"
-        anywhere = rf"(?<![^{SPACE}\"“‘«„(\[¿¡]){usual}"
-        named = F.regexp_replace(named, rf"(?=\p{{Lu}}\p{{L}})(?:{inside}|{anywhere})", _NAME)
-    pointed = F.regexp_replace(named, r"(?<=\d)[.,:](?=\d)", _POINT)
-    if names:
-        pointed = F.regexp_replace(pointed, rf"[.,;:!?)]+(?=[{SPACE}])", _BREAK)
-    bare = F.regexp_replace(pointed, rf"[^\p{{L}}\p{{N}}{SPACE}{MARKS}]+", "")
-    number, gap = rf"\d[\d{_POINT}]*", f"[{SPACE}{_BREAK}]"
-    units = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
-    split = F.regexp_replace(
-        bare, rf"(?<![\p{{L}}\p{{N}}])({number}){gap}*((?i:{units}))(?![\p{{L}}\p{{N}}])", f"$1 {_UNIT}$2"
-    )
-    # Numbers are neighbours whatever stands between them, names only without punctuation.
-    joined = F.regexp_replace(
-        split, rf"(?<![\p{{L}}\p{{N}}])({number}){gap}+(?={number}(?![\p{{L}}\p{{N}}]))", f"$1{_JOIN}"
-    )
-    if names:
-        joined = F.regexp_replace(joined, rf"({_NAME}\p{{L}}+)[{SPACE}]+(?={_NAME})", f"$1{_JOIN}")
-    values = F.lower(F.translate(joined, _POINT + _JOIN + _NAME + _BREAK + _UNIT, "." + _JOIN))
-    numbered = F.regexp_replace(joined, rf"(?<![\p{{L}}\p{{N}}]){number}(?:{_JOIN}{number})*", NUMBER)
-    template = F.regexp_replace(numbered, rf"{_UNIT}\p{{L}}+", UNIT)
-    if names:
-        template = F.regexp_replace(template, rf"{_NAME}\p{{L}}+(?:{_JOIN}{_NAME}\p{{L}}+)*", NAME)
-    return F.lower(F.translate(template, MARKS, "")), values
+    marked = reduce(lambda t, step: step.apply(t), _marked(names), text)
+    return reduce(lambda t, step: step.apply(t), _template(names), marked), _values(marked)
+
+
+def _gated(rows: DataFrame, column: str, steps: list[Step]) -> DataFrame:
+    """The steps, each only where its gate is open: a projection each, so none is repeated."""
+    for step in steps:
+        done = step.apply(F.col(column))
+        if step.gate is not None:
+            done = F.when(step.gate(F.col(column)), done).otherwise(F.col(column))
+        rows = rows.withColumn(column, done)
+    return rows
 
 
 def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, f"[{SPACE}]+"), "")
 
 
-def _templates(rows: DataFrame, whole: bool) -> DataFrame:
-    """``id`` and, for each stream, words of its template and of the values beside them.
+def _templates(rows: DataFrame, whole: bool, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``id``, ``keep`` and, for each stream, words of its template and of the values beside them.
 
     The ``whole`` stream has the values in both places.
     """
-    columns = ["id"]
+    columns = ["id", *keep]
     for stream, names in STREAMS.items():
         template, values = canonical(F.col("text"), names)
         columns += [_words(template).alias(f"{stream}_template"), _words(values).alias(f"{stream}_slots")]
@@ -173,32 +217,52 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return usable.union(whole)
 
 
-def _matches(
-    docs: DataFrame, digests: list[tuple[str, int, int]], longest: int
-) -> DataFrame:
-    """``doc, stream, h, width, pos, words, values, before`` of windows in ``digests``.
+def _stream_words(rows: DataFrame, stream: str) -> DataFrame:
+    """``rows`` with ``words``: those of the stream's windows."""
+    names = STREAMS.get(stream, False)
+    rows = _gated(rows.withColumn("words", F.col("text")), "words", _marked(names))
+    if stream == WHOLE:
+        return rows.withColumn("words", _words(F.translate(_values(F.col("words")), _JOIN, " ")))
+    rows = _gated(rows, "words", _template(names))
+    return rows.withColumn("words", _words(F.col("words")))
+
+
+def _windows(docs: DataFrame, stream: str, widths: list[int]) -> DataFrame:
+    """``id, key, stream, width, h, pos`` of all windows of a stream."""
+    # No filter on the array, also not the one Spark infers for a plain explode: it would be
+    # pushed below the steps and repeat them.
+    some = F.size("words") >= min(widths)
+    pos = F.when(some, F.sequence(F.lit(1), F.size("words") - (min(widths) - 1)))
+    rows = _stream_words(docs, stream).select("id", "key", "words", F.explode_outer(pos).alias("pos"))
+
+    def digest(width: int) -> Column:
+        # Word by word: generated code, and no copy of the window.
+        return F.xxhash64(*(F.get("words", F.col("pos") + k - 1) for k in range(width)), F.lit(stream))
+
+    if len(widths) == 1:
+        hashed = rows.select("id", "key", "pos", F.lit(widths[0]).alias("width"), digest(widths[0]).alias("h"))
+    else:
+        each = F.explode(F.array(*(F.struct(F.lit(w).alias("width"), digest(w).alias("h")) for w in widths)))
+        hashed = rows.select("id", "key", "pos", each.alias("one")).select("id", "key", "pos", "one.width", "one.h")
+    return hashed.withColumn("stream", F.lit(stream))
+
+
+def _matches(docs: DataFrame, known: DataFrame, kinds: list[tuple[str, int]], longest: int) -> DataFrame:
+    """``doc, stream, h, width, pos, words, values, before`` of windows in ``known``.
 
     ``before`` counts the words before a window, each of a placeholder's for itself.
-    Of ``digests`` each has its stream and width. ``words`` of the whole stream go on to
-    ``longest``.
+    ``kinds`` are the streams and widths of the benchmark's windows, whose digests are
+    ``known``. ``words`` of the whole stream go on to ``longest``.
     """
-    # Each stream and width is tested against its own digests only.
-    known = {k: ",".join(f"{d}L" for s, w, d in digests if (s, w) == k) for k in {x[:2] for x in digests}}
-    widths = sorted(known)
-
-    def digest(stream: str, width: int) -> str:
-        # Word by word, as slice() copies the whole array each time; the digest is the same.
-        return f"xxhash64({', '.join(f'{stream}_template[i + {k - 1}]' for k in range(width))}, '{stream}')"
-
-    parts = [
-        f"if(size({s}_template) >= {w}, transform("
-        f"filter(sequence(1, size({s}_template) - {w - 1}), i -> {digest(s, w)} in ({known[s, w]})), "
-        f"i -> named_struct('h', {digest(s, w)}, 'stream', '{s}', 'width', {w}, 'pos', i)), array())"
-        for s, w in widths
-    ]
-    found = docs.withColumn("found", F.expr(f"concat({', '.join(parts)})"))
-
-    used = sorted({s for s, _ in widths})
+    docs = docs.withColumn("key", F.xxhash64("text"))
+    used = sorted({s for s, _ in kinds})
+    probes = [_windows(docs, s, sorted(w for t, w in kinds if t == s)) for s in used]
+    hits = reduce(DataFrame.union, [p.join(known, ["stream", "width", "h"]) for p in probes])
+    hits = materialize(hits.select("id", "key", "stream", "width", "h", "pos"), "template-hits")
+    # The windows of one text; their templates are built again, now with the values.
+    per_doc = hits.groupBy("id", "key").agg(F.collect_list(F.struct("h", "stream", "width", "pos")).alias("found"))
+    matched = docs.join(per_doc, ["id", "key"]).select("id", "text", "found")
+    found = _templates(matched, whole=WHOLE in used, keep=("found",))
 
     def length(stream: str, x: Column) -> Column:
         return F.lit(longest) if stream == WHOLE else x["width"]
@@ -277,15 +341,15 @@ def find_leaks(
     bench = pick(items, "item_id", "text").toDF("id", "text").withColumn("text", whole_text())
     usable = materialize(benchmark_windows(bench.where("id is not null"), window), "benchmark")
     sizes = usable.groupBy("item", "stream").agg(F.countDistinct("at").alias("n_windows"))
-    digests = sorted(tuple(r) for r in usable.select("stream", "width", "h").distinct().toLocalIterator())
+    known = materialize(usable.select("stream", "width", "h").distinct(), "benchmark-digests")
+    kinds = [tuple(r) for r in known.select("stream", "width").distinct().collect()]
     longest = usable.where(F.col("stream") == WHOLE).agg(F.max(F.size("template"))).first()[0]
-    templates = _templates(rows.where("id is not null"), whole=longest is not None)
-    passes = [
-        _matches(templates, digests[at : at + SET_WINDOWS], longest or 0)
-        for at in range(0, max(len(digests), 1), SET_WINDOWS)
-        if digests
-    ] or [_matches(templates.limit(0), [("plain", window, 0)], 0)]
-    found = materialize(reduce(DataFrame.union, passes), "template-matches")
+    rows = rows.where("id is not null")
+    # Without a usable item nothing matches.
+    found = materialize(
+        _matches(rows if kinds else rows.limit(0), known, kinds or [("plain", window)], longest or 0),
+        "template-matches",
+    )
     # The digest finds; the words confirm.
     theirs = usable.select("stream", "h", "width", "item", "at", "literal", F.col("template").alias("theirs"), "slots")
     same = F.slice("words", F.lit(1), F.size("theirs")) == F.col("theirs")
