@@ -11,8 +11,8 @@ from ..operators import enrich, filter_new, next_hwm
 from ..plans import LakePaths, Subject, ingest_subject, run_month
 from ..schemas import ACCIDENTS_TRANSIENT, CONTROL, FLOW_TRANSIENT, STATE
 from ..scratch import new_folder
-from ..sinks import append_by_ref, append_hwm, write_raw
-from ..sources import latest_marks, read_delimited, read_layer, read_refs
+from ..sinks import append_by_ref, put_hwm, write_raw
+from ..sources import latest_marks, read_delimited, read_layer, read_refs, scan_records
 from . import bindings as B
 from .registry import check, plain, table
 
@@ -65,6 +65,43 @@ def scan_delimited_mixed_numbers(spark, sf_dir):
     )
 
 
+# Which lines are spoiled, and how; the others are whole.
+SPOILED = {
+    "l_orderkey % 41 = 0": ("fields", "l_orderkey || ';' || l_linenumber || ';' || l_quantity_text"),
+    "l_orderkey % 43 = 0": ("fields", "l_orderkey || ';' || l_linenumber || ';' || l_quantity_text || ';R;more'"),
+    "l_orderkey % 47 = 0": ("quotes", "l_orderkey || ';' || l_linenumber || ';' || l_quantity_text || ';\"R'"),
+}
+WHOLE_LINE = "l_orderkey || ';' || l_linenumber || ';' || l_quantity_text || ';\"' || l_returnflag || '\"'"
+
+
+def _spoiled(what: int | None) -> str:
+    """A CASE over ``SPOILED``: the reason (0) or the line (1); of whole lines, NULL or the line."""
+    cases = " ".join(f"when {rule} then {v[what] if what else repr(v[what])}" for rule, v in SPOILED.items())
+    return f"case {cases} else {WHOLE_LINE if what else 'null'} end"
+
+
+@check("scan_delimited_broken", f"""
+select reason, case when reason is not null then line end as text,
+       case when reason is null then l_orderkey end as l_orderkey,
+       case when reason is null then l_linenumber end as l_linenumber,
+       case when reason is null then cast(trunc(l_quantity) as double) end as l_quantity,
+       case when reason is null then l_returnflag end as l_returnflag
+from (select *, {_spoiled(0)} as reason, {_spoiled(1)} as line
+      from (select *, cast(cast(trunc(l_quantity) as bigint) as varchar) as l_quantity_text from lineitem))""")
+def scan_delimited_broken(spark, sf_dir):
+    """Lines with a field too few or too many, or an open quote, among whole ones."""
+    path = new_folder(spark, "broken")
+    lines = table(spark, sf_dir, "lineitem").withColumn("l_quantity_text", F.col("l_quantity").cast("bigint").cast("string"))
+    # One column whose name is the header line, and nothing that the writer would quote.
+    text = lines.select(F.expr(_spoiled(1)).alias(";".join(LINES.fieldNames())))
+    text.write.option("sep", "\u0001").option("quote", "\u0000").option("header", True).csv(path)
+    scan = scan_records(spark, path, LINES)
+    rows, broken = scan.rows(), scan.broken()
+    return rows.select(F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("text"), "*").unionByName(
+        broken.select("reason", "text"), allowMissingColumns=True
+    )
+
+
 @check("scan_parquet", """select l_orderkey, l_linenumber, l_quantity, l_returnflag
   from lineitem""")
 def scan_parquet(spark, sf_dir):
@@ -191,7 +228,7 @@ def ingest_increment(spark, sf_dir):
         "event_id", F.date_format("ts", "dd/MM/yyyy").alias("day"), "event_type"
     )
     write_delimited(events, f"{root}/source")
-    append_hwm(spark, f"{root}/state", EVENTS.name, MARK, "20240115000000")
+    put_hwm(spark, f"{root}/state", EVENTS.name, MARK, "20240115000000")
     ingest_subject(
         spark, EVENTS, f"{root}/source", f"{root}/raw", f"{root}/state", f"{root}/control",
         "20240131000000",

@@ -10,12 +10,15 @@ from ..operators import (
     anchor_measure,
     assign_nearest,
     attach_events,
+    bitmap_counts,
+    distinct_bitmaps,
     duplicate_report,
     enrich,
     latest_version,
     nearest_sensor,
     numbered_rows,
     segment_table,
+    top_duplicates,
 )
 from ..plans import conform_accidents, conform_flow
 from ..plans.stage import loaded_version
@@ -23,6 +26,7 @@ from ..scratch import new_folder
 from ..sinks.layers import write_counted
 from . import bindings as B
 from .registry import check, plain, table
+from .scalar import murmur3_sql
 
 # --- projections ---------------------------------------------------------------------
 
@@ -88,28 +92,38 @@ def raw_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@check("conform_flow", """
-with raw as (
-  select case when l_orderkey % 23 <> 0 then strftime(l_shipdate, '%Y-%m-%d') end as day,
+# The record's six columns in their order; the position is the number it spells.
+CONFORM_ID = " || ".join(
+    ("day", "vehicle", "'51 - 80 KM'", "cast(l_extendedprice / 100 as varchar)", "l_linestatus", "direction")
+)
+
+
+@check("conform_flow", f"""
+with raw as materialized (
+  select row_number() over () as id, case when l_orderkey % 23 <> 0 then strftime(l_shipdate, '%Y-%m-%d') end as day,
          case when l_orderkey % 29 = 0 then l_returnflag
-              else 'BR-' || lpad(cast(l_orderkey % 400 as varchar), 3, '0') end as road, *
-  from lineitem)
-select '20010630120000' as dt_proc, cast(replace(substring(day, 1, 7), '-', '') as integer) as ref,
+              else 'BR-' || lpad(cast(l_orderkey % 400 as varchar), 3, '0') end as road,
+         case when l_suppkey % 2 = 0 then 'Crescente' else 'Decrescente' end as direction,
+         case when l_partkey % 2 = 0 then 'Moto' else 'Passeio' end as vehicle, *
+  from lineitem),
+keyed as (select id, {CONFORM_ID} as key from raw),
+ids as (with {murmur3_sql("key").strip()})
+select surrogate_id as id_fluxo,
+       '20010630120000' as dt_proc, cast(replace(substring(day, 1, 7), '-', '') as integer) as ref,
        'Via' as concessionaria_fluxo, 'R' || l_suppkey as identificador_fluxo,
        try_cast(substring(road, 4) as integer) as br_fluxo,
        case when l_orderkey % 7 = 0 then 'SP' else 'MG' end as uf_fluxo,
        cast(cast(cast(l_extendedprice / 100 as varchar) as decimal(14,3)) as double) as km_fluxo,
        l_linestatus as municipio_fluxo, 'Principal' as tipo_de_pista,
        l_discount as latitude_fluxo, l_tax as longitude_fluxo, day as data_fluxo,
-       case when l_suppkey % 2 = 0 then 'Crescente' else 'Decrescente' end as sentido_fluxo,
+       direction as sentido_fluxo,
        cast(l_linenumber as varchar) as faixa_da_passagem_fluxo,
        '51 - 80 KM' as velocidade_fluxo,
-       case when l_partkey % 2 = 0 then 'Moto' else 'Passeio' end as tipo_de_veiculo_fluxo,
+       vehicle as tipo_de_veiculo_fluxo,
        cast(trunc(l_quantity) as bigint) as volume_total_fluxo
-from raw""")
+from raw join ids using (id)""")
 def conform_flow_check(spark, sf_dir):
-    # the 32-bit id has no SQL twin: see surrogate_id_hash
-    return plain(conform_flow(raw_flow(spark, sf_dir), str(B.DT_PROC)).drop("id_fluxo"))
+    return plain(conform_flow(raw_flow(spark, sf_dir), str(B.DT_PROC)))
 
 
 def raw_accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,6 +337,44 @@ def duplicate_check_top5(spark, sf_dir):
     return duplicate_report(B.flow(spark, sf_dir), "id_fluxo")
 
 
+DAY_CUSTOMERS_SQL = """
+select strftime(o_orderdate, '%Y-%m-%d') as day,
+       count(distinct case when o_custkey % 3 = 0 then o_custkey end) as customers
+from orders group by 1"""
+
+
+@check("distinct_merged", DAY_CUSTOMERS_SQL)
+def distinct_merged(spark, sf_dir):
+    """Three loads counted one by one; their stored bitmaps merged."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        F.when(F.col("o_custkey") % 3 == 0, F.col("o_custkey")).alias("customer"),
+        (F.col("o_orderkey") % 3).alias("load"),
+    )
+    path = new_folder(spark, "day-customers")
+    for load in range(3):
+        part = distinct_bitmaps(orders.where(F.col("load") == load), ["day"], F.col("customer"))
+        part.write.mode("append").parquet(path)
+    return bitmap_counts(spark.read.parquet(path), ["day"], "customers")
+
+
+@check("duplicate_top5_skewed", f"""
+with f as (select case when volume_total_fluxo % 3 = 0 then -1 when volume_total_fluxo % 7 = 0 then id_fluxo % 50
+                       else id_fluxo end as id_fluxo from ({B.FLOW_SQL}))
+select id_fluxo, count(*) as qtd from f group by 1 order by 2 desc, 1 limit 5""")
+def duplicate_top5_skewed(spark, sf_dir):
+    volume, key = F.col("volume_total_fluxo"), F.col("id_fluxo")
+    crowded = F.when(volume % 3 == 0, F.lit(-1)).when(volume % 7 == 0, key % 50).otherwise(key)
+    return top_duplicates(B.flow(spark, sf_dir).select(crowded.alias("id_fluxo")), "id_fluxo")
+
+
+@check("duplicate_top5_flat", f"""select id_fluxo, count(*) as qtd from ({B.FLOW_SQL})
+  group by 1 order by 2 desc, 1 limit 5""")
+def duplicate_top5_flat(spark, sf_dir):
+    """No key stands out, so the bound proves nothing."""
+    return top_duplicates(B.flow(spark, sf_dir), "id_fluxo")
+
+
 # --- windows -------------------------------------------------------------------------
 
 DAY_ORDER = ("o_custkey", "o_orderkey")

@@ -22,6 +22,7 @@ from ..functions import (
     to_int,
     version_key,
 )
+from ..operators import collisions
 from . import bindings as B
 from .registry import check, plain, table
 
@@ -177,6 +178,19 @@ def surrogate_id_hash(spark, sf_dir):
     )
 
 
+@check("id_collisions", f"""with keyed as (
+  select row_number() over () as id, {" || ".join(KEY_PARTS)} as key, {" , ".join(KEY_PARTS)} from ({KEY_SQL})),
+  ids as (with {murmur3_sql("key").strip()})
+select surrogate_id, count(*) as qtd
+from (select id, row({", ".join(KEY_PARTS)}) as record from keyed) join ids using (id)
+group by 1 having count(distinct record) > 1""".replace("with keyed as (", "with keyed as materialized ("))
+def id_collisions(spark, sf_dir):
+    """32-bit ids under which different records meet, that of missing parts among them."""
+    parts = [F.col(p) for p in KEY_PARTS]
+    hashed = natural_key(spark, sf_dir).withColumn("surrogate_id", natural_key_hash(*parts))
+    return collisions(hashed, "surrogate_id", parts)
+
+
 MD5_SQL = " || '|' || ".join(
     f"coalesce(cast(length({p}) as varchar) || ':' || {p}, '~')" for p in KEY_PARTS
 )

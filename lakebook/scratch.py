@@ -23,19 +23,20 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def _located(spark: SparkSession, path: str):
+def located(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that system takes it."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    files, place = _located(spark, path)
+    files, place = located(spark, path)
     return files.exists(place)
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this package wrote, if it is there."""
-    files, place = _located(spark, path)
+    files, place = located(spark, path)
     files.delete(place, True)
 
 
