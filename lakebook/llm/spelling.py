@@ -13,9 +13,11 @@ one edit apart share all but so many, hence lists are merged for only (bound + 1
 rarest grams of a word. As the rest of the word holds no other edit, a shared gram comes
 with the whole left part or the whole right part of the word, and that makes the list.
 
-Words none of whose grams must survive an edit, and lists above ``LIST`` words, are met by
-what is left after one deletion instead, which is exact and has small groups (all words
-one insertion from a given string). Candidates of either way are verified.
+A list is merged in one task; a long one by what its words leave after one deletion, so the
+work grows with its words and not their pairs. Words none of whose grams must survive an
+edit, and lists above ``LIST`` words, are spread by what they leave after one deletion,
+which is exact and has small groups (all words one insertion from a given string).
+Candidates of every way are verified.
 """
 
 from __future__ import annotations
@@ -42,12 +44,14 @@ SPOILED = 31
 # A form occurs at least so many times as often.
 TIMES = 10
 # Least and greatest length of a gram.
-GRAM = (2, 6)
+GRAM = (2, 4)
 # A gram is frequent above so many places, more where the frequent ones would exceed GRAMS.
-FREQUENT = 100
+FREQUENT = 1_000
 GRAMS = 200_000
-# Words of a list that are compared with each other.
-LIST = 64
+# Words of a list that one task merges, and of one that are compared with each other.
+LIST, COMPARED = 4_096, 16
+# Words a task decomposes.
+TASK_WORDS = 50_000
 # Distinct words a task counts before it hands them on.
 BATCH_WORDS = 100_000
 
@@ -193,6 +197,37 @@ def one_edit(a: str, b: str) -> bool:
     return a[at + (len(a) == len(b)) :] == b[at + 1 :]
 
 
+def _shared_edge(words: list[str]) -> int:
+    """How many letters at the beginning all of the words share."""
+    low, high = min(words), max(words)
+    at = 0
+    while at < len(low) and low[at] == high[at]:
+        at += 1
+    return at
+
+
+def near_in(members: list[str]) -> Iterator[tuple[str, str]]:
+    """Every two distinct members one edit apart, the first one first."""
+    if len(members) <= COMPARED:
+        groups: Iterable[list[str]] = [members]
+    else:
+        # What all share has no part in an edit. Words one edit apart leave the same after a
+        # deletion from one of them or from both.
+        at = _shared_edge(members)
+        back = _shared_edge([m[at:][::-1] for m in members])
+        met: dict[str, list[str]] = {}
+        for m in members:
+            core = m[at : len(m) - back]
+            for left in {core, *(core[:i] + core[i + 1 :] for i in range(len(core)))}:
+                met.setdefault(left, []).append(m)
+        groups = met.values()
+    found = set()
+    for group in groups:
+        for i, a in enumerate(group):
+            found.update((a, b) if a < b else (b, a) for b in group[i + 1 :] if one_edit(a, b))
+    yield from found
+
+
 def _digest(key: str) -> int:
     """64 bits of a list's key; a chance meeting costs a comparison, as all are verified."""
     return xxhash.xxh64_intdigest(key.encode("utf-8")) - (1 << 63)
@@ -223,19 +258,11 @@ def _lists(words: DataFrame, index: GramIndex) -> DataFrame:
 
 
 def _pairs_of(lists: DataFrame) -> DataFrame:
-    """``word, near`` both ways of the words one edit apart in a list (``members``)."""
+    """``word, near`` of the words one edit apart in a list (``members``), the first one first."""
 
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: list[tuple[str, str]] = []
-            for members in batch.column("members").to_pylist():
-                members.sort(key=len)
-                for i, a in enumerate(members):
-                    for b in members[i + 1 :]:
-                        if len(b) > len(a) + 1:
-                            break
-                        if one_edit(a, b):
-                            found += [(a, b), (b, a)]
+            found = [pair for members in batch.column("members").to_pylist() for pair in near_in(members)]
             word, near = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(word, pa.string()), pa.array(near, pa.string())], names=["word", "near"]
@@ -253,22 +280,27 @@ def _grouped(keyed: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _after_one_deletion(rest: DataFrame) -> DataFrame:
-    """``word, near`` among the words of each ``key`` that meet after at most one deletion."""
+    """Lists (``members``) of the words of one ``key`` that meet after at most one deletion.
+
+    A list has the words one insertion away from one string, and the string itself: at most
+    letters x places, whatever the corpus.
+    """
 
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: list[tuple[int, str]] = []
-            for key, word in zip(batch.column("key").to_pylist(), batch.column("word").to_pylist()):
+            keys: list[int] = []
+            owner: list[int] = []
+            for row, (key, word) in enumerate(zip(batch.column("key").to_pylist(), batch.column("word").to_pylist())):
                 left = {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}
-                columns += [(_digest(f"{key}:{x}"), word) for x in left]
-            key, word = zip(*columns) if columns else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(word, pa.string())], names=["key", "word"])
+                keys += [_digest(f"{key}:{x}") for x in left]
+                owner += [row] * len(left)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), batch.column("word").take(pa.array(owner, pa.int32()))],
+                names=["key", "word"],
+            )
 
-    # A group has the words one insertion from one string: at most letters x places.
-    met = materialize(rest.mapInArrow(spread, "key bigint, word string"), "deletions")
-    one, other = met.toDF("key", "word"), met.toDF("key", "near")
-    near = F.expr("levenshtein(word, near, 1) = 1")
-    return one.join(other, "key").where((F.col("word") != F.col("near")) & near).select("word", "near")
+    met = rest.mapInArrow(spread, "key bigint, word string").groupBy("key")
+    return met.agg(F.collect_list("word").alias("members")).where(F.size("members") > 1)
 
 
 def near_words(
@@ -280,11 +312,14 @@ def near_words(
     """
     ship_package(words.sparkSession)
     index = GramIndex.of(frequent_grams(words, gram, frequent), gram)
-    lists = materialize(_lists(words, index), "gram-lists")
+    # Decomposing takes long for its few bytes.
+    tasks = max(1, -(-words.count() // TASK_WORDS))
+    lists = materialize(_lists(words.repartition(tasks), index), "gram-lists")
     small, large = _grouped(lists.where("key is not null"), "shared-lists")
     rest = lists.where("key is null").select(F.lit(0).cast("long").alias("key"), "word")
-    found = _pairs_of(small).union(_after_one_deletion(large.union(rest)))
-    return materialize(found.distinct(), "near-words")
+    lists = small.select("members").union(_after_one_deletion(large.union(rest)).select("members"))
+    found = materialize(_pairs_of(lists).distinct(), "near-words")
+    return found.union(found.select(F.col("near").alias("word"), F.col("word").alias("near")))
 
 
 def _roots(forms: DataFrame) -> DataFrame:

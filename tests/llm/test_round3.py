@@ -13,6 +13,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from lakebook.llm import spelling
 from lakebook.llm.alignment import align_documents, align_texts
 from lakebook.llm.common import read
 from lakebook.llm.exact import distinct_texts, exact_groups
@@ -287,6 +288,22 @@ def test_variants_of_odd_rows(odd):
     assert got == brute_variants(ODD_ROWS) and {"similar", "spelling"} <= set(got)
 
 
+@pytest.mark.parametrize("compared,most", [(0, 10**6), (16, 40), (10**6, 10**6)])
+def test_lists_of_every_size_are_merged_alike(spark, docs, monkeypatch, compared, most):
+    monkeypatch.setattr(spelling, "COMPARED", compared)
+    monkeypatch.setattr(spelling, "LIST", most)
+    words = brute_words(docs.items())
+    want = {tuple(sorted(p)) for p in ((a, b) for a, near in brute_near(words).items() for b in near)}
+    some = sorted(words)[:3_000]
+    assert set(spelling.near_in(some)) == {p for p in want if set(p) <= set(some)}
+    assert set(spelling.near_in(["ab", "b", "a", "aab", "abb", "c"] * 1)) == {
+        ("a", "ab"), ("ab", "b"), ("a", "b"), ("a", "c"), ("b", "c"), ("aab", "ab"), ("ab", "abb"), ("aab", "abb")
+    }
+    if most == 40:
+        frame = spark.createDataFrame([(w,) for w in words], "word string").repartition(4)
+        assert {tuple(sorted(r)) for r in near_words(frame, frequent=10**6).collect()} == want
+
+
 def test_a_word_with_very_many_variants(spark):
     """One word's variants fill a list far beyond what is compared in one place."""
     rng = random.Random(5)
