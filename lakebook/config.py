@@ -53,13 +53,6 @@ LOOKBACK_MONTHS = (1, 3, 6, 9, 12)
 # How many months before the run month the stage reaches back.
 HISTORY_MONTHS = 12
 
-# Folders of the lake, under its root.
-RAW_FOLDER = "02_raw"
-TRUSTED_FOLDER = "03_trusted"
-STAGE_FOLDER = "04_refined/stage_fluxo_acidentes"
-BOOK_FOLDER = "04_refined/book_km_fluxo_acidentes"
-CONTROL_FOLDER = "05_controle"
-
 # Subjects, and the audit names of their tables.
 FLOW_SUBJECT = "fluxo"
 ACCIDENTS_SUBJECT = "acidentes"
@@ -69,6 +62,13 @@ TB_TRUSTED_ACCIDENTS = "tb_trusted_acidentes"
 TB_STAGE = "tb_refined_stage"
 TB_BOOK = "tb_refined_book"
 
+# Folders of the lake, under its root: names of this package.
+RAW_FOLDER = "raw"
+TRUSTED_FOLDER = "trusted"
+STAGE_FOLDER = "refined/stage"
+BOOK_FOLDER = "refined/book"
+CONTROL_FOLDER = "audit"
+
 # --- settings ------------------------------------------------------------------------
 
 

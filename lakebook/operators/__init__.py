@@ -7,7 +7,6 @@ from .book import (
     book_of_partials,
     day_partials,
     feature_book,
-    feature_book_direct,
     merge_partials,
 )
 from .dedup import duplicate_report, latest_version, top_duplicates
@@ -21,7 +20,7 @@ from .nearest import assign_nearest, nearest_sensor, segment_table, segments
 __all__ = [
     "BookSpec", "Family", "anchor_measure", "assign_nearest", "attach_events", "bitmap_counts",
     "book_of_partials", "collisions", "day_partials", "distinct_bitmaps", "duplicate_report",
-    "enrich", "feature_book", "feature_book_direct", "filter_new", "latest_version",
+    "enrich", "feature_book", "filter_new", "latest_version",
     "merge_bitmaps", "merge_partials", "nearest_sensor", "next_hwm", "numbered_rows",
     "segment_table", "segments", "top_duplicates", "with_lookback",
 ]

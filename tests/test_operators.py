@@ -17,7 +17,6 @@ from lakebook.operators import (
     attach_events,
     duplicate_report,
     feature_book,
-    feature_book_direct,
     filter_new,
     latest_version,
     nearest_sensor,
@@ -26,6 +25,7 @@ from lakebook.operators import (
     segments,
 )
 from lakebook.plans import BOOK_SPEC
+from tools.direct_book import feature_book_direct
 
 
 def rows(df):
@@ -220,7 +220,7 @@ def test_class_without_rows_is_all_null(spark):
 def test_feature_numbering():
     cells = list(BOOK_SPEC.cells())
     assert len(BOOK_SPEC.feature_names()) == 408
-    # n = 24 * block + 4 * window + aggregate
+    # n = 24 * block + 4 * window + aggregate; the class names are fixed values
     first_of_block = [(c[1], c[2][:3]) for c in cells[::6]]
     assert first_of_block == [
         ("FLUXO_BAIXO", "fvl"), ("FLUXO_MEDIO", "fvl"), ("FLUXO_ALTO", "fvl"),

@@ -20,12 +20,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from lakebook.checks import bindings as B  # noqa: E402
 from lakebook.config import ProductConfig  # noqa: E402
 from lakebook.functions import label_class, threshold_class  # noqa: E402
-from lakebook.operators import feature_book_direct, nearest_sensor, with_lookback  # noqa: E402
+from lakebook.operators import nearest_sensor, with_lookback  # noqa: E402
 from lakebook.plans import BOOK_SPEC, build_book, build_stage  # noqa: E402
 from lakebook.plans.stage import ACCIDENT_COLUMNS, ANCHOR_ORDER, loaded_version  # noqa: E402
 from lakebook.scratch import new_folder  # noqa: E402
 from lakebook.sinks import write_month  # noqa: E402
 from tests.support import local_spark  # noqa: E402
+from tools.direct_book import feature_book_direct  # noqa: E402
 
 
 def latest(df: DataFrame, key: str) -> DataFrame:
