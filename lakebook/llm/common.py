@@ -15,6 +15,10 @@ from ..scratch import new_folder
 SPACE = "\\x20\\x09-\\x0D"
 # Bytes sent to the file system at once.
 CHUNK = 1 << 20
+# Rows that go to Python at once: whole texts are long rows, and a task holds a batch of
+# them twice, in the JVM and in Python. Spark's default is ten times as many.
+BATCH_ROWS = 1_000
+ARROW_ROWS, DEFAULT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,7 +67,12 @@ _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package, once for each application."""
+    """Give the executors this package, once for each application, and make batches small.
+
+    A batch size that the session sets itself is left alone.
+    """
+    if spark.conf.get(ARROW_ROWS) == DEFAULT_ROWS:
+        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

@@ -13,7 +13,6 @@ import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +37,13 @@ TERMS = 400
 TERM_SUPPORT = 4
 TERM_ODDS = 1.2
 PREFIXES = tuple(range(4, 10))
-BATCH_TERMS = 200_000
+BATCH_TERMS = 100_000
 # Words of a hit's surroundings in which a second-person word counts.
 NEAR = 5
 # Weight of the trees' own probability, which orders texts of one calibrated step.
 SLOPE = 0.02
-CACHE_WORDS = 200_000
+# Words a task remembers.
+CACHE_WORDS = 100_000
 
 INSULTS = frozenset(
     "idiot idiots moron morons stupid dumb fool loser losers trash scum pathetic worthless "
@@ -166,18 +166,13 @@ def features(text: str, kinds: Kinds) -> list[float]:
     ]
 
 
-@lru_cache(maxsize=2)
-def _kinds(lexicon: Lexicon) -> Kinds:
-    return Kinds(lexicon)
-
-
 def with_features(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
     """``rows`` with ``text`` replaced by its features, as doubles."""
     others = [c for c in rows.columns if c != "text"]
     ship_package(rows.sparkSession)
 
     def extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = _kinds(lexicon)
+        kinds = Kinds(lexicon)  # goes with the task
         for batch in batches:
             values = [features(text.as_py(), kinds) for text in batch.column("text")]
             table = np.array(values, dtype=np.float64).reshape(-1, len(FEATURES))
