@@ -27,7 +27,12 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity score does not reject, unchanged."""
+    """Documents that the toxicity score does not reject, unchanged.
+
+    A row goes by its id and text, so of two texts under one id each is judged for itself,
+    and a row without an id goes, too, if its text is rejected. Repeated rows go or stay
+    alike; an empty table gives no rows.
+    """
     rows = pick(docs, *COLUMNS).withColumn("text_key", F.xxhash64(whole_text()))
     scored = score_toxicity(rows, read(spark, sf_dir, "labels"), carry=("text_key",))
     bad = scored.where("predicted = 1").select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key"))
@@ -38,7 +43,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each SimHash component, unchanged.
 
-    Repeated rows count once. Rows without an id can't be told apart and stay.
+    Repeated rows count once. Rows without an id can't be told apart and stay. All texts of
+    one id stay if one of them is the first of its group. An empty table gives no rows.
     """
     rows = pick(docs, *COLUMNS)
     first = simhash_components(rows).where("doc_id = component_id").select("doc_id").distinct()
@@ -49,7 +55,9 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that earlier documents have.
 
-    A document of which nothing is left goes; one that was empty before stays.
+    A document of which nothing is left goes; one that was empty before stays, with an empty
+    text also where it was null. Rows without an id are unchanged. Texts of one id are one
+    document: a word number that goes in one of them goes in all. An empty table gives none.
     """
     cut = dedup_substrings(docs, carry=OTHERS).where("n_removed = 0 or n_removed < n_words")
     text = F.col("kept_text")
@@ -57,13 +65,24 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that leak no benchmark item, unchanged."""
-    leaks = find_leaks(docs, read(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return pick(docs, *COLUMNS).join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+    """Documents that leak no benchmark item, unchanged.
+
+    Whether a row leaks depends on its text alone: texts are searched under their SHA-256,
+    so rows without an id and several texts under one id are judged like any other. An
+    empty table gives no rows.
+    """
+    rows = pick(docs, *COLUMNS).withColumn("text_key", F.sha2(whole_text().cast("binary"), 256))
+    leaks = find_leaks(rows, read(spark, sf_dir, "benchmark"), id_col="text_key")
+    bad = leaks.select(F.col("doc_id").alias("text_key")).distinct()
+    return rows.join(bad, "text_key", "left_anti").select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its sequence and place in it."""
+    """Every piece of every document with its sequence and place in it.
+
+    Rows without an id, repeated ones and empty texts (the end id alone) are packed like any
+    other; an empty table gives no pieces.
+    """
     return pack(docs, tokenizer_path())
 
 
