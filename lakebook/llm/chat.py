@@ -74,7 +74,7 @@ class Template:
 def prefix_target_examples(
     turns: DataFrame, template: Template = Template(), target_role: str = "assistant"
 ) -> DataFrame:
-    """``conv_id, example, n_context, is_last, text, loss_start, loss_end``.
+    """``conv_id, lone, example, n_context, is_last, text, loss_start, loss_end``.
 
     ``example`` counts from 0 in a conversation, ``n_context`` are the turns before the
     last one shown. ``loss_start`` and ``loss_end`` bound the trainable characters of
@@ -82,17 +82,20 @@ def prefix_target_examples(
     the turns after the last reply.
 
     Turns are ordered by number; a null number comes first, equal numbers are ordered by
-    role, then text, and repeated rows stay. Null texts and roles are empty. Rows with a
-    null ``conv_id`` form one conversation. An empty table gives no examples.
+    role, then text, and repeated rows stay. Null texts and roles are empty. Each row with a
+    null ``conv_id`` is a conversation of its own, told apart by ``lone`` (null for the
+    others). An empty table gives no examples; other columns are ignored.
     """
+    lone = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
     rows = pick(turns, "conv_id", "turn", "role", "text").select(
-        "conv_id", "turn", whole_text("role").alias("role"), whole_text().alias("text")
+        "conv_id", lone.alias("lone"), "turn", whole_text("role").alias("role"), whole_text().alias("text")
     )
-    grouped = rows.groupBy("conv_id").agg(
+    grouped = rows.groupBy("conv_id", "lone").agg(
         F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")
     )
     formatted = grouped.select(
         "conv_id",
+        "lone",
         F.transform(
             "turns",
             lambda t: F.struct(
@@ -104,6 +107,7 @@ def prefix_target_examples(
     )
     rendered = formatted.select(
         "conv_id",
+        "lone",
         "turns",
         F.transform("turns", lambda t: F.concat(t["head"], t["body"], F.lit(template.end))).alias("parts"),
     )
@@ -112,13 +116,14 @@ def prefix_target_examples(
         F.sequence(F.lit(0), F.size("turns") - 1),
         lambda i: F.get(F.col("turns"), i)["target"] | (i == F.size("turns") - 1),
     )
-    examples = rendered.select("conv_id", "turns", "parts", F.posexplode(shown).alias("example", "at"))
+    examples = rendered.select("conv_id", "lone", "turns", "parts", F.posexplode(shown).alias("example", "at"))
     text = F.array_join(F.slice("parts", F.lit(1), F.col("at") + 1), "")
     last = F.get(F.col("turns"), F.col("at"))
     length = F.length("text")
     return (
         examples.select(
             "conv_id",
+        "lone",
             "example",
             F.col("at").alias("n_context"),
             (F.col("at") == F.size("turns") - 1).alias("is_last"),
@@ -129,6 +134,7 @@ def prefix_target_examples(
         .withColumn("loss_end", F.when(F.col("target"), length - len(template.end)))
         .select(
             "conv_id",
+        "lone",
             "example",
             "n_context",
             "is_last",
@@ -140,19 +146,23 @@ def prefix_target_examples(
 
 
 def read_back(examples: DataFrame, template: Template = Template()) -> DataFrame:
-    """Digests of each conversation, parsed from its formatted examples."""
+    """Digests of each conversation, parsed from its formatted examples.
+
+    Conversations without an id have a row each.
+    """
     target = F.substr(
         F.col("text"), F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start")
     )
     parsed = examples.select(
         "conv_id",
+        "lone",
         "example",
         F.length("text").cast("long").alias("chars"),
         F.when(F.col("loss_end").isNotNull(), template.unescape(target)).alias("reply"),
         F.when(F.col("is_last"), F.col("text")).alias("whole"),
     )
     replies = F.sort_array(F.collect_list(F.when(F.col("reply").isNotNull(), F.struct("example", "reply"))))
-    grouped = parsed.groupBy("conv_id").agg(
+    grouped = parsed.groupBy("conv_id", "lone").agg(
         F.sum("chars").alias("formatted_chars"),
         F.max("whole").alias("whole"),
         F.array_join(F.transform(replies, lambda r: r["reply"]), "").alias("loss"),

@@ -3,7 +3,9 @@
 The fingerprints of all templates form an inverted index (fingerprint to template and
 place) of fixed size, which travels with the job. A text's own winnowed fingerprints pick
 candidate templates and diagonals; a banded alignment around each reports how much of the
-template is there and where. Texts are read once and nothing is shuffled.
+template is there and where. Short notices have too few words to be winnowed: all their
+pairs of words are indexed, and looked up among all pairs of the text. Texts are read once
+and nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -26,6 +28,9 @@ WIDTH = 3
 # Words by which an alignment may leave its diagonal.
 BAND = 8
 COVERAGE = 0.8
+# Templates below so many words are found by any two words in a row: of five words one may
+# be another, which leaves no three in a row.
+SHORT, PAIR = 12, 2
 TOKEN = re.compile(rb"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 
 # Fixed texts: notices and grants of public licenses.
@@ -35,6 +40,10 @@ TEMPLATES = {
     "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
     "CC-BY-4.0 notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0 notice": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."
+    ),
+    "GPL-2.0 notice": "This work is licensed under the GNU General Public License, version 2.",
     "MIT": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
         "and associated documentation files (the \"Software\"), to deal in the Software without "
@@ -43,6 +52,13 @@ TEMPLATES = {
         "Software is furnished to do so, subject to the following conditions: The above copyright notice "
         "and this permission notice shall be included in all copies or substantial portions of the Software."
     ),
+    "MIT disclaimer": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT "
+        "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES "
+        "OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+        "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
         "fee is hereby granted, provided that the above copyright notice and this permission notice appear "
@@ -55,6 +71,20 @@ TEMPLATES = {
         "binary form must reproduce the above copyright notice, this list of conditions and the following "
         "disclaimer in the documentation and/or other materials provided with the distribution."
     ),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted "
+        "provided that the following conditions are met: Redistributions of source code must retain the "
+        "above copyright notice, this list of conditions and the following disclaimer. Redistributions in "
+        "binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution. Neither the "
+        "name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission."
+    ),
+    "BSD disclaimer": (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR "
+        "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+        "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."
+    ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
         "in compliance with the License. You may obtain a copy of the License at "
@@ -67,6 +97,21 @@ TEMPLATES = {
         "General Public License as published by the Free Software Foundation, either version 3 of the "
         "License, or (at your option) any later version."
     ),
+    "GPL-2.0-or-later": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation; either version 2 of the "
+        "License, or (at your option) any later version."
+    ),
+    "LGPL-2.1-or-later": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of "
+        "the License, or (at your option) any later version."
+    ),
+    "AGPL-3.0-or-later": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Affero General Public License as published by the Free Software Foundation, either version 3 of "
+        "the License, or (at your option) any later version."
+    ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of "
         "the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
@@ -94,31 +139,57 @@ def fingerprints(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 @dataclass(frozen=True)
-class Index:
-    """Sorted fingerprints of all templates with their template and place."""
+class Postings:
+    """Sorted fingerprints and, beside each, the template and the place it comes from."""
 
-    names: tuple[str, ...]
-    words: tuple[tuple[bytes, ...], ...]
     prints: np.ndarray
     template: np.ndarray
     place: np.ndarray
 
+    @classmethod
+    def of(cls, rows: list[tuple[int, int, int]]) -> Postings:
+        prints, template, place = zip(*sorted(rows)) if rows else ((), (), ())
+        return cls(np.array(prints, dtype=np.uint64), np.array(template, dtype=np.int64), np.array(place, dtype=np.int64))
+
+    def seeds(self, prints: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Template and diagonal of every fingerprint of a text that is one of these."""
+        lo = np.searchsorted(self.prints, prints, side="left")
+        hi = np.searchsorted(self.prints, prints, side="right")
+        for i in np.flatnonzero(hi > lo).tolist():
+            for entry in range(int(lo[i]), int(hi[i])):
+                yield int(self.template[entry]), int(places[i] - self.place[entry])
+
+
+def word_pairs(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of neighbouring words and their places."""
+    if len(hashes) < PAIR:
+        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+    grams = Rolling(hashes).grams(PAIR)
+    return grams, np.arange(len(grams))
+
+
+@dataclass(frozen=True)
+class Index:
+    """Sorted fingerprints of all templates with their template and place.
+
+    ``pairs`` is the same for the pairs of words of the short ones.
+    """
+
+    names: tuple[str, ...]
+    words: tuple[tuple[bytes, ...], ...]
+    prints: Postings
+    pairs: Postings
+
 
 def build_index(templates: dict[str, str]) -> Index:
     words = tuple(tuple(tokens(text)) for text in templates.values())
-    rows = []
+    rows: list[tuple[int, int, int]] = []
+    pairs: list[tuple[int, int, int]] = []
     for number, template in enumerate(words):
-        prints, places = fingerprints(word_hashes(list(template)))
-        rows += [(int(f), number, int(p)) for f, p in zip(prints, places)]
-    rows.sort()
-    prints, template, place = zip(*rows) if rows else ((), (), ())
-    return Index(
-        tuple(templates),
-        words,
-        np.array(prints, dtype=np.uint64),
-        np.array(template, dtype=np.int64),
-        np.array(place, dtype=np.int64),
-    )
+        short = len(template) < SHORT
+        prints, places = (word_pairs if short else fingerprints)(word_hashes(list(template)))
+        (pairs if short else rows).extend((int(f), number, int(p)) for f, p in zip(prints, places))
+    return Index(tuple(templates), words, Postings.of(rows), Postings.of(pairs))
 
 
 def align(template: tuple[bytes, ...], text: list[bytes], diagonal: int) -> tuple[int, int, int]:
@@ -154,15 +225,12 @@ def scan_text(text: str, index: Index, coverage: float) -> list[tuple[int, float
     A match inside the span of another that has more words is part of that one.
     """
     words = tokens(text)
-    prints, places = fingerprints(word_hashes(words))
-    if not len(prints) or not len(index.prints):
-        return []
-    lo = np.searchsorted(index.prints, prints, side="left")
-    hi = np.searchsorted(index.prints, prints, side="right")
+    hashes = word_hashes(words)
     seeds: dict[int, list[int]] = {}
-    for i in np.flatnonzero(hi > lo).tolist():
-        for entry in range(int(lo[i]), int(hi[i])):
-            seeds.setdefault(int(index.template[entry]), []).append(int(places[i] - index.place[entry]))
+    for postings, cut in ((index.prints, fingerprints), (index.pairs, word_pairs)):
+        if len(postings.prints):
+            for number, diagonal in postings.seeds(*cut(hashes)):
+                seeds.setdefault(number, []).append(diagonal)
     found = []
     for number, diagonals in seeds.items():
         template, last = index.words[number], None

@@ -1,6 +1,7 @@
 """Sharding by sampled splitters: near equal bytes, equal texts side by side.
 
-Rows are ordered by (digest of the text, doc_id). A size-weighted sample of these keys
+Rows are ordered by (digest of the text, doc_id, row number), so no two have one key and
+any range can be divided. A size-weighted sample of these keys
 gives quantile boundaries, and rows go to the range between two boundaries. Exact totals
 of the ranges then say which are overfull; those are sampled again and subdivided. Last,
 running totals (over the few ranges, then inside each) give every row its place in the
@@ -32,15 +33,18 @@ ROUNDS = 4
 # What each row costs besides its text.
 ROW_BYTES = 8
 
-Key = tuple[int, int]
+Key = tuple[int, int, int]
+PARTS = ("k", "i", "s")
+# A group of equal texts up to this share of a shard is not divided.
+WHOLE_GROUP = 0.02
 
 
 def _sample(keyed: DataFrame, rate: Column, salt: int) -> list[tuple[Key, float]]:
     """Keys drawn in proportion to size, each with the bytes it stands for."""
     chance = F.col("size") * rate
-    drawn = keyed.where(uniform(F.lit(salt), F.col("k"), F.col("i")) < chance)
+    drawn = keyed.where(uniform(F.lit(salt), *map(F.col, PARTS)) < chance)
     weight = F.when(chance < 1, 1 / rate).otherwise(F.col("size").cast("double"))
-    return sorted(((r[0], r[1]), r[2]) for r in drawn.select("k", "i", weight).collect())
+    return sorted((tuple(r)[:-1], r[-1]) for r in drawn.select(*PARTS, weight).collect())
 
 
 def _quantiles(sample: list[tuple[Key, float]], parts: int) -> list[Key]:
@@ -55,14 +59,15 @@ def _quantiles(sample: list[tuple[Key, float]], parts: int) -> list[Key]:
 def _range_of(boundaries: list[Key]) -> Column:
     """How many boundaries are at or below the row's key, by binary search."""
     count = len(boundaries)
-    digests = literal_longs([k for k, _ in boundaries])
-    ids = literal_longs([i for _, i in boundaries])
+    tables = [literal_longs([key[p] for key in boundaries]) for p in range(len(PARTS))]
     steps = [1 << b for b in reversed(range(max(1, count.bit_length())))]
 
     def step(found: Column, width: Column) -> Column:
         at = found + width
-        digest, doc = F.get(digests, at - 1), F.get(ids, at - 1)
-        below = (digest < F.col("k")) | ((digest == F.col("k")) & (doc <= F.col("i")))
+        below = F.lit(True)
+        for part, table in reversed(list(zip(PARTS, tables))):
+            edge = F.get(table, at - 1)
+            below = (edge < F.col(part)) | ((edge == F.col(part)) & below)
         return F.when((at <= count) & below, at).otherwise(found)
 
     return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
@@ -81,18 +86,18 @@ def size_ranges(keyed: DataFrame, total: int, rows: int) -> tuple[DataFrame, lis
             .agg(
                 F.sum("size").alias("bytes"),
                 F.count(F.lit(1)).alias("n"),
-                F.min(F.struct("k", "i")).alias("lo"),
-                F.max(F.struct("k", "i")).alias("hi"),
+                F.min(F.struct(*PARTS)).alias("lo"),
+                F.max(F.struct(*PARTS)).alias("hi"),
             )
             .collect()
         )
-        # One single key can't be divided; its rows are alike.
+        # A single row can't be divided.
         full = {t["r"]: t["bytes"] for t in totals if t["bytes"] > OVERFULL * target and t["lo"] != t["hi"]}
         if not full or round_ == ROUNDS:
             break
         inside = keyed.withColumn("r", _range_of(boundaries)).where(F.col("r").isin(list(full)))
         again = _sample(inside, F.lit(2 * PER_RANGE / target), round_)
-        edges = [(k, i) for k, i in boundaries]
+        edges = list(boundaries)
         new: dict[int, list[tuple[Key, float]]] = {}
         for key, weight in again:
             place = bisect_left(edges, key)
@@ -112,7 +117,8 @@ def shard_by_bytes(
     A row's size is its UTF-8 bytes plus 8 (null: 8). It goes to the shard in which the
     middle of its bytes lies, so a shard misses an equal part by less than one document.
     ``slot`` numbers the rows of a shard from 0 without gaps. Rows with an equal text are
-    neighbours; they share a shard unless its end falls between them.
+    neighbours. A group of them up to ``WHOLE_GROUP`` of a shard counts as one document: the
+    middle of its bytes says where all of it goes. A larger one is divided where a shard ends.
 
     Null and empty texts count as the same, empty text. Rows with a null id come first
     among equal texts. Repeated rows each get a slot; as they are alike, it does not
@@ -127,6 +133,8 @@ def shard_by_bytes(
             F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
             digest.alias("k"),
             F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long").alias("i"),
+            # Frozen by being written.
+            F.monotonically_increasing_id().alias("s"),
         ),
         "shard-keys",
     )
@@ -145,20 +153,29 @@ def shard_by_bytes(
     byte_base = literal_longs([0, *accumulate(sizes)])
     row_base = literal_longs([0, *accumulate(counts)])
 
-    inside = Window.partitionBy("r").orderBy("k", "i")
+    inside = Window.partitionBy("r").orderBy(*PARTS)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = keyed.withColumn("r", _range_of(boundaries)).select(
-        "doc_id",
-        "size",
-        "text_crc32",
-        (F.get(byte_base, F.col("r")) + F.sum("size").over(so_far)).alias("end"),
-        (F.get(row_base, F.col("r")) + F.row_number().over(inside) - 1).alias("place"),
+    placed = materialize(
+        keyed.withColumn("r", _range_of(boundaries)).select(
+            "doc_id",
+            "size",
+            "text_crc32",
+            "k",
+            (F.get(byte_base, F.col("r")) + F.sum("size").over(so_far)).alias("end"),
+            (F.get(row_base, F.col("r")) + F.row_number().over(inside) - 1).alias("place"),
+        ),
+        "shard-order",
     )
-    # Twice the middle of the row, in units of 1/shards of twice the total.
-    middle = (F.col("end") * 2 - F.col("size")) * shards
+    # Groups that stay whole, by their digest; the others' rows are placed one by one.
+    equal = placed.groupBy("k").agg(F.sum("size").alias("all"), F.max("end").alias("last"), F.count(F.lit(1)).alias("n"))
+    small = F.col("all") * shards <= F.lit(WHOLE_GROUP) * total
+    whole_groups = materialize(equal.where((F.col("n") > 1) & small).select("k", "all", "last"), "shard-groups")
+    # Twice the middle, in units of 1/shards of twice the total.
+    own, group = F.col("end") * 2 - F.col("size"), F.col("last") * 2 - F.col("all")
     shard = F.least(F.lit(shards - 1), F.expr("cast(middle div two_totals as int)"))
     numbered = materialize(
-        placed.withColumn("middle", middle)
+        placed.join(whole_groups, "k", "left")
+        .withColumn("middle", F.coalesce(group, own) * shards)
         .withColumn("two_totals", F.lit(2 * total).cast("long"))
         .select("doc_id", "size", "text_crc32", shard.alias("shard"), "place"),
         "shard-places",

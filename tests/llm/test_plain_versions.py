@@ -1,0 +1,241 @@
+"""License alignment and toxicity features against plain recomputations; plans of the native queries."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakebook.llm import toxicity as tox
+from lakebook.llm.common import read
+from lakebook.llm.licenses import BAND, TEMPLATES, align, build_index, scan_licenses, scan_text, tokens
+from lakebook.llm.queries import LLM_CHECKS
+
+INDEX = build_index(TEMPLATES)
+
+
+def common_words(a, b):
+    """Words of the longest common subsequence, by the full table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(new[j], row[j + 1]))
+        row = new
+    return row[-1]
+
+
+def spoil(words, rng, edits):
+    words = list(words)
+    for i in rng.sample(range(len(words)), edits):
+        words[i] = rng.choice([[], [words[i], b"zzextra"], [b"zzother"]])
+    return [w for part in words for w in (part if isinstance(part, list) else [part])]
+
+
+@pytest.mark.parametrize("name", list(TEMPLATES))
+def test_a_spoiled_license_is_found_with_the_coverage_of_a_full_table(name):
+    """One license between words of its own, with as many edits as its coverage allows."""
+    rng = random.Random(name)
+    template = INDEX.words[INDEX.names.index(name)]
+    for _ in range(12):
+        edits = rng.randint(0, min(len(template) // 5, BAND // 2))
+        middle = spoil(template, rng, edits)
+        before, after = ([f"q{rng.random()}".encode() for _ in range(rng.randint(0, 30))] for _ in "xy")
+        text = before + middle + after
+        found = {INDEX.names[n]: (share, matched, start, end) for n, share, matched, start, end in scan_text(b" ".join(text).decode(), INDEX, 0.8)}
+        matched = common_words(template, text)
+        if matched < 0.8 * len(template):
+            assert name not in found
+            continue
+        rivals = [n for n, t in zip(INDEX.names, INDEX.words) if n != name and common_words(t, text) >= matched]
+        if rivals and name not in found:
+            assert set(found) & set(rivals)  # part of a longer one
+            continue
+        share, got, start, end = found[name]
+        assert got == matched and math.isclose(share, matched / len(template))
+        assert len(before) <= start < end <= len(before) + len(middle)
+
+
+def test_every_notice_with_one_other_word_is_found():
+    for name, template in zip(INDEX.names, INDEX.words):
+        for i in range(len(template)):
+            text = [*template[:i], b"zz", *template[i + 1 :]]
+            if (len(template) - 1) / len(template) >= 0.8:
+                assert any(INDEX.names[n] == name or len(INDEX.words[n]) >= len(template) - 1 for n, *_ in scan_text(b" ".join(text).decode(), INDEX, 0.8))
+
+
+def test_an_alignment_on_its_diagonal_is_the_full_table():
+    rng = random.Random(3)
+    for _ in range(200):
+        template = tuple(rng.choice([b"a", b"b", b"c", b"d"]) for _ in range(rng.randint(1, 10)))
+        text = [rng.choice([b"a", b"b", b"c", b"d", b"e"]) for _ in range(rng.randint(0, 8))]
+        matched, start, end = align(template, text, 0)
+        near = max(
+            (common_words(template, text) if len(text) <= BAND and len(template) <= BAND else matched), 0
+        )
+        assert matched == near and 0 <= start <= end <= len(text)
+
+
+def test_licenses_of_whole_texts_equal_a_search_without_an_index(spark, sf_dir):
+    """Every template at every diagonal of every text, without fingerprints."""
+    docs = {r.doc_id: r.text or "" for r in read(spark, sf_dir, "documents").select("doc_id", "text").collect()}
+    got = {(r.doc_id, r.license) for r in scan_licenses(read(spark, sf_dir, "documents")).collect()}
+    want = set()
+    vocabulary = {w for t in INDEX.words for w in t}
+    for doc, text in docs.items():
+        words = tokens(text)
+        places = [i for i, w in enumerate(words) if w in vocabulary]
+        held = Counter(words[i] for i in places)
+        for name, template in zip(INDEX.names, INDEX.words):
+            if sum(min(n, held[w]) for w, n in Counter(template).items()) < 0.8 * len(template):
+                continue
+            # The parts of the text where the template's words are.
+            own = [i for i in places if words[i] in template]
+            best = max(common_words(template, words[i : i + 2 * len(template)]) for i in own)
+            if best >= 0.8 * len(template):
+                want.add((doc, name))
+    missed = {(d, n) for d, n in want - got if not any(x == d and len(INDEX.words[INDEX.names.index(m)]) >= len(INDEX.words[INDEX.names.index(n)]) for x, m in got)}
+    assert not missed and got <= want
+
+
+def plain_features(text, lexicon):
+    """The features, one by one, as their names say."""
+    words = text.lower().split()
+    if not words:
+        return [0.0] * len(tox.FEATURES)
+    terms = dict(lexicon.terms)
+    bare = [w.strip(tox.EDGE) for w in words]
+
+    def weight(w):
+        return max([0.0, terms.get(f"={w}", 0.0)] + [terms.get(f"^{w[:n]}", 0.0) for n in tox.PREFIXES if len(w) >= n])
+
+    def odd(w):
+        changed = tox.INNER.fullmatch(w) or tox.SEPARATORS.search(w) or w.translate(tox.LEET) != w
+        return bool(changed and any(c.isalpha() for c in w) and tox.INNER.search(w))
+
+    def disguised(w):
+        changed = tox.INNER.fullmatch(w) or tox.SEPARATORS.search(w) or w.translate(tox.LEET) != w
+        plain = tox.SEPARATORS.sub("", w.translate(tox.LEET))
+        return bool(changed and w not in tox.INSULTS and weight(w) == 0 and any(c.isalpha() for c in w) and plain in tox.INSULTS)
+
+    weights = [round(weight(w) * tox.STEPS) / tox.STEPS for w in bare]
+    hits = [i for i, w in enumerate(bare) if w in tox.INSULTS or weight(w) > 0 or disguised(w)]
+    second = [i for i, w in enumerate(bare) if w in tox.SECOND_PERSON]
+    near = sum(any(abs(i - j) <= tox.NEAR for j in second) for i in hits)
+    letters = [c for c in text if c.isascii() and c.isalpha()]
+    per = 100.0 / len(words)
+    return [
+        per * sum(w in tox.INSULTS for w in bare),
+        per * sum(weight(w) > 0 for w in bare),
+        per * sum(weights),
+        max(weights),
+        math.log1p(len(hits)),
+        math.log1p(len({words[i] for i in hits})),
+        per * near,
+        per * len(second),
+        sum(c.isupper() for c in letters) / max(len(letters), 1),
+        per * len(re.findall(r"\b[A-Z]{3,}\b", text)),
+        per * text.count("!"),
+        per * text.count("?"),
+        per * len(re.findall(r"[!?]{2,}", text)),
+        per * sum(map(odd, bare)),
+        per * sum(map(disguised, bare)),
+        math.log1p(len(words)),
+        len(text) / len(words),
+    ]
+
+
+def test_features_equal_a_plain_recomputation(spark, sf_dir):
+    known = tox.labelled_sample(read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), read(spark, sf_dir, "labels"))
+    rows = [(r.toxic, r.text) for r in known.collect()]
+    lexicon = tox.learn_lexicon(known)
+    # The lexicon's counts and odds by hand.
+    seen = {0: Counter(), 1: Counter()}
+    for toxic, text in rows:
+        words = {w.strip(tox.EDGE) for w in text.lower().split()}
+        seen[toxic].update({f"={w}" for w in words} | {f"^{w[:n]}" for w in words for n in tox.PREFIXES if len(w) >= n})
+    sizes = Counter(toxic for toxic, _ in rows)
+    base = math.log((sizes[1] + 1) / (sizes[0] + 1))
+    odds = {t: math.log((n + 0.5) / (seen[0][t] + 2.0)) - base for t, n in seen[1].items() if n >= tox.TERM_SUPPORT and len(t) > 2}
+    best = sorted((t for t, o in odds.items() if o >= tox.TERM_ODDS), key=lambda t: (-seen[1][t] * odds[t], t))[: tox.TERMS]
+    assert {t for t, _ in lexicon.terms} == set(best)
+    assert all(math.isclose(w, odds[t], rel_tol=1e-9) for t, w in lexicon.terms)
+    kinds = tox.Kinds(lexicon)
+    odd_texts = ["", "  ", "You IDIOT!! you 1d10t, st.u.p.i.d ?? ÉCOLE", "a " * 500, "ihr Deppen, du Depp!", "$h!t you", "x" * 5_000]
+    for text in [t for _, t in rows][:400] + odd_texts:
+        assert tox.features(text, kinds) == pytest.approx(plain_features(text, lexicon), rel=1e-9, abs=1e-9)
+
+
+def test_calibration_is_the_isotonic_fit(spark):
+    """The calibrated score against pooled neighbours computed by hand."""
+    from pyspark.ml.regression import IsotonicRegression
+
+    rng = random.Random(9)
+    points = sorted((rng.random(), float(rng.random() < 0.5)) for _ in range(60))
+    pools = [[y, 1] for _, y in points]
+    i = 0
+    while i + 1 < len(pools):
+        if pools[i][0] / pools[i][1] > pools[i + 1][0] / pools[i + 1][1]:
+            pools[i : i + 2] = [[pools[i][0] + pools[i + 1][0], pools[i][1] + pools[i + 1][1]]]
+            i = max(i - 1, 0)
+        else:
+            i += 1
+    want = [total / n for total, n in pools for _ in range(n)]
+    frame = spark.createDataFrame(points, "p double, toxic double")
+    fitted = IsotonicRegression(featuresCol="p", labelCol="toxic", predictionCol="c").fit(frame)
+    got = [r.c for r in fitted.transform(frame).orderBy("p").collect()]
+    assert got == pytest.approx(want)
+
+
+def test_scores_rise_with_toxicity(spark, sf_dir):
+    """On rows no label was learned from: ranking, not only the threshold."""
+    scored = tox.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    rows = scored.join(read(spark, sf_dir, "labels"), "doc_id").where("held_out").select("score", "toxic").collect()
+    bad, good = ([r.score for r in rows if r.toxic == k] for k in (1, 0))
+    right = sum((b > g) + 0.5 * (b == g) for b in bad for g in good)
+    assert right >= 0.9 * len(bad) * len(good)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+NATIVE = ("op1_decontamination", "op3_chat", "op4_quality", "op10_shards", "op12_exact_dedup")
+
+
+def plan(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("name", list(LLM_CHECKS))
+def test_no_cross_join_and_no_python_in_native_queries(name, spark):
+    text = plan(LLM_CHECKS[name][0](spark, "/root/testdata/sf0.001"))
+    words = ("CartesianProduct", "NestedLoop") + (("Python", "Pandas", "Arrow") if name in NATIVE else ())
+    assert not any(word in text for word in words)
+
+
+def test_equal_rows_in_great_number_are_divided(spark):
+    """Rows alike in id and text: one key, many ranges and shards."""
+    from lakebook.llm.sharding import shard_by_bytes
+
+    frame = spark.range(8_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id") % 50).cast("long").alias("doc_id"),
+        F.when(F.col("id") % 2 == 0, "one text of all").otherwise(F.concat(F.lit("t"), F.col("id") % 400)).alias("text"),
+    )
+    placed = shard_by_bytes(frame, 8)
+    sizes = [r.s for r in placed.groupBy("shard").agg(F.sum("size").alias("s")).collect()]
+    total = sum(sizes)
+    assert len(sizes) == 8 and max(abs(s - total / 8) for s in sizes) <= 0.03 * total / 8
+    slots = {}
+    for r in placed.collect():
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    # small groups of equal texts stay together
+    apart = placed.where("size < 15").groupBy("text_crc32").agg(F.countDistinct("shard").alias("n"))
+    assert {r.n for r in apart.collect()} == {1}
