@@ -11,12 +11,9 @@ tasks before) and look up the combination that takes their number.
 
 from __future__ import annotations
 
-import re
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,124 +23,14 @@ from pyspark.sql import functions as F
 
 from ..scratch import materialize
 from .common import pick, ship_package, whole_text
+from .tokens import byte_bpe
 
 CAPACITY = 2048
 END_ID = 0
-# Words whose ids a worker remembers, and characters it splits at once.
-CACHE_WORDS = 1_200_000
-BLOCK_CHARS = 4_000_000
 # Numbers of one length stay below this.
 RANK_BITS = 48
 
 
-def _byte_letters() -> dict[int, str]:
-    """How a byte-level tokenizer spells bytes: printable ones as themselves, the others
-    by the letters from 256 on, in order."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = (b for b in range(256) if b not in plain)
-    return {b: chr(256 + i) for i, b in enumerate(others)}
-
-
-BYTE_LETTERS = _byte_letters()
-
-
-class Pieces(dict):
-    """Ids of the pieces a tokenizer cuts words into; those that words share stay."""
-
-    def __init__(self, model):
-        super().__init__()
-        self.model = model
-
-    def ids(self, piece: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        found = self[piece] = self.ids(piece)
-        return found
-
-
-class Encoder:
-    """Ids of whole texts, as little-endian unsigned 32-bit bytes.
-
-    A byte-level tokenizer of this family never joins across a space that follows a word,
-    so a text is cut there and the ids of a word are remembered. Texts where that does not
-    hold (a space inside or at the end of a run of white space) and texts that spell out
-    a special token are encoded whole.
-    """
-
-    letters = re.compile(r"[^\W\d_]*")
-    uncertain = re.compile(r"\s (?:\s|\Z)")
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
-        self.after_space: dict[str, bytes] = {}
-        self.pieces, self.rests = Pieces(self.tokenizer.model), {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def _learn(self, words: list[str]) -> None:
-        """Remember the ids of words that follow a space.
-
-        Leading letters and the space are one piece; what comes after them is cut into
-        pieces of its own.
-        """
-        known, pieces, letters = self.after_space, self.pieces, self.letters
-        for word in words:
-            core = letters.match(word)[0]
-            if not core.isalpha():  # also none, or a numeral among the letters
-                known[word] = self.rest(" " + word)
-                continue
-            spelled = core if core.isascii() else core.encode().decode("latin-1").translate(BYTE_LETTERS)
-            ids = pieces.ids("\u0120" + spelled)
-            known[word] = ids if len(core) == len(word) else ids + self.rest(word[len(core) :])
-
-    def rest(self, text: str) -> bytes:
-        found = self.rests.get(text)
-        if found is None:
-            if len(self.rests) > CACHE_WORDS:
-                self.rests.clear()
-            cut = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
-            found = self.rests[text] = b"".join([self.pieces[piece] for piece, _ in cut])
-        return found
-
-    def _block(self, texts: list[str]) -> list[bytes]:
-        cut = [None if self.uncertain.search(t) or self.special.search(t) else t.split(" ") for t in texts]
-        known = self.after_space
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        self._learn(list(set().union(*(words[1:] for words in cut if words)).difference(known)))
-        firsts = iter(self._ids([t if words is None else words[0] for t, words in zip(texts, cut)]))
-        return [
-            next(firsts) + b"".join(map(known.__getitem__, words[1:] if words else ()))
-            for words in cut
-        ]
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        block: list[str] = []
-        chars = 0
-        for text in texts:
-            block.append(text)
-            chars += len(text)
-            if chars >= BLOCK_CHARS:
-                yield from self._block(block)
-                block, chars = [], 0
-        if block:
-            yield from self._block(block)
-
-
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
 def pieces(
     docs: DataFrame,
     tokenizer: str,
@@ -166,13 +53,13 @@ def pieces(
     fields += ", ids array<int>" if with_ids else ""
 
     def tokenise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = _encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, task = byte_bpe(tokenizer), TaskContext.get().partitionId()
         used = [0] * (capacity + 1)
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             owner, out, ids = [], [], []
-            for row, raw in enumerate(encoder.encode(batch.column("text").to_pylist())):
-                raw += end
+            for row, text in enumerate(batch.column("text")):
+                raw = encoder.ids(text.as_py()).astype("<u4").tobytes() + end
                 n, start, piece = len(raw) // 4, 0, 0
                 stop = n if n <= capacity else n % capacity or capacity
                 while start < n:

@@ -22,6 +22,7 @@ from lakebook.llm.queries import LLM_CHECKS, tokenizer_path
 from lakebook.llm.sharding import shard_by_bytes
 from lakebook.llm.simhash import BKTree, simhash_components, spanning_links
 from lakebook.llm.substrings import dedup_substrings
+from lakebook.llm.tokens import byte_bpe
 from lakebook.llm.toxicity import score_toxicity
 from lakebook.llm.urls import build_index as url_index
 from lakebook.llm.urls import filter_urls
@@ -117,9 +118,12 @@ def test_encoder_equals_the_tokenizer():
     rng = random.Random(3)
     parts = ["a", "b ", "  ", " ", "\n", "'s", "é", "　", "²", "23", "<|endoftext|>", "!", " cat", "\x85", "中"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(8_000)]
-    plain = Tokenizer.from_file(tokenizer_path()).encode_batch(texts, add_special_tokens=False)
-    got = list(packing.Encoder(tokenizer_path()).encode(texts))
-    assert got == [np.array(e.ids, dtype="<u4").tobytes() for e in plain]
+    texts += [" " * 300_000, "x" * 50_000, "ab" * 20_000, "\n \t" * 5_000]
+    for special in (True, False):
+        library, ours = Tokenizer.from_file(tokenizer_path()), byte_bpe(tokenizer_path(), special)
+        library.encode_special_tokens = not special
+        plain = library.encode_batch(texts, add_special_tokens=False)
+        assert [ours.ids(t).tolist() for t in texts] == [e.ids for e in plain]
 
 
 def test_fullest_combination_is_optimal():
