@@ -30,15 +30,23 @@ from .winnow import Rolling, anchors, split_words, word_hashes
 
 WINDOW = 13
 GRAM = 5
-# Documents sampled for frequent anchors, and how many of them an anchor must be in. So
-# there are at most (segments of the sample / SAMPLE_HITS) such anchors.
-SAMPLE = 2_000
+# Documents sampled for frequent anchors, and how many of their segments an anchor must have.
+# So there are at most (segments of the sample / SAMPLE_HITS) such anchors, and one with a
+# share of all segments that makes three times SAMPLE_HITS likely is missed once in 10**6.
+SAMPLE = 10_000
 SAMPLE_HITS = 20
 # First window and number of windows of a segment share one number.
 COUNT_BITS = 24
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in ``known``, which is sorted."""
+    if not len(known):
+        return np.zeros(len(values), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def segments(
     hashes: np.ndarray, window: int, gram: int, frequent: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -48,7 +56,7 @@ def segments(
     grams = rolling.grams(gram)
     places = anchors(grams, window - gram + 1)
     first = np.flatnonzero(np.diff(places, prepend=-1))
-    often = np.isin(grams[places[first]], frequent)
+    often = among(grams[places[first]], frequent)
     alone = np.ones(len(first), dtype=bool)
     alone[1:] = ~(often[1:] & often[:-1])
     first, often = first[alone], often[alone]
@@ -81,13 +89,13 @@ def _segment_rows(docs: DataFrame, window: int, gram: int, frequent: np.ndarray)
 
 
 def frequent_anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
-    """Anchors found in ``SAMPLE_HITS`` of about ``SAMPLE`` documents."""
+    """Anchors of ``SAMPLE_HITS`` segments in about ``SAMPLE`` documents."""
     rows = docs.count()
     some = docs.where(uniform(F.lit(1), F.col("doc")) < SAMPLE / max(rows, 1))
     none = np.empty(0, dtype=np.uint64)
     seen = _segment_rows(some, window, gram, none).groupBy("anchor")
-    often = seen.agg(F.countDistinct("doc").alias("n")).where(F.col("n") >= SAMPLE_HITS)
-    return np.array([r[0] for r in often.select("anchor").collect()], dtype=np.int64).view(np.uint64)
+    often = seen.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SAMPLE_HITS)
+    return np.sort(np.array([r[0] for r in often.select("anchor").collect()], dtype=np.int64).view(np.uint64))
 
 
 def _shared_segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
