@@ -30,11 +30,14 @@ from .winnow import Rolling, anchors, split_words, word_hashes
 
 WINDOW = 13
 GRAM = 5
-# Documents sampled for frequent anchors, and how many of their segments an anchor must have.
-# So there are at most (segments of the sample / SAMPLE_HITS) such anchors, and one with a
-# share of all segments that makes three times SAMPLE_HITS likely is missed once in 10**6.
-SAMPLE = 10_000
+# Documents sampled for frequent anchors: so many, and this share of a large corpus. An anchor
+# with SAMPLE_HITS segments in the sample is frequent; one that makes three times as many likely
+# is missed once in 10**6. So about 10**6 segments of one anchor meet in a task at most, however
+# many documents there are, and the anchors held are a fixed share of all segments.
+SAMPLE, SAMPLE_SHARE = 10_000, 1 / 16_384
 SAMPLE_HITS = 20
+# Anchors held by every task at most (8 bytes each): the most frequent ones.
+HELD = 4_000_000
 # First window and number of windows of a segment share one number.
 COUNT_BITS = 24
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -68,8 +71,10 @@ def segments(
 def _segment_rows(docs: DataFrame, window: int, gram: int, frequent: np.ndarray) -> DataFrame:
     """``anchor, content, doc, at, often``: all segments; ``often`` if the anchor is frequent."""
     names = ["anchor", "content", "doc", "at", "often"]
+    held = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = held.value
         for batch in batches:
             parts = []
             ids = batch.column("doc").to_pylist()
@@ -88,14 +93,19 @@ def _segment_rows(docs: DataFrame, window: int, gram: int, frequent: np.ndarray)
     return docs.mapInArrow(cut, "anchor bigint, content bigint, doc bigint, at bigint, often boolean")
 
 
-def frequent_anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
-    """Anchors of ``SAMPLE_HITS`` segments in about ``SAMPLE`` documents."""
-    rows = docs.count()
-    some = docs.where(uniform(F.lit(1), F.col("doc")) < SAMPLE / max(rows, 1))
+def sample_share(rows: int) -> float:
+    """The share of ``rows`` documents in which frequent anchors are looked for."""
+    return min(1.0, max(SAMPLE / max(rows, 1), SAMPLE_SHARE))
+
+
+def frequent_anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, held: int = HELD) -> np.ndarray:
+    """Anchors of ``SAMPLE_HITS`` segments in the sample, sorted; of more than ``held`` the most frequent."""
+    some = docs.where(uniform(F.lit(1), F.col("doc")) < sample_share(docs.count()))
     none = np.empty(0, dtype=np.uint64)
     seen = _segment_rows(some, window, gram, none).groupBy("anchor")
     often = seen.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SAMPLE_HITS)
-    return np.sort(np.array([r[0] for r in often.select("anchor").collect()], dtype=np.int64).view(np.uint64))
+    most = often.orderBy(F.desc("n"), "anchor").limit(held).select("anchor").toArrow()
+    return np.sort(most.column("anchor").to_numpy().view(np.uint64))
 
 
 def _shared_segments(docs: DataFrame, window: int, gram: int) -> DataFrame:

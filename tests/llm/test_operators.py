@@ -6,13 +6,14 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import partial
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from lakebook.llm import packing
+from lakebook.llm import packing, substrings
 from lakebook.llm.chat import Template, prefix_target_examples, read_back
 from lakebook.llm.common import read
 from lakebook.llm.decontaminate import canonical, find_leaks
@@ -408,8 +409,25 @@ def test_hot_text_is_subdivided(spark):
     assert len(sizes) == 8 and max(r.s for r in sizes) - min(r.s for r in sizes) <= 24
 
 
-def test_frequent_passages_equal_brute_force(spark):
+def test_sample_grows_with_the_corpus():
+    assert [substrings.sample_share(n) for n in (0, 10_000, 1_000_000)] == [1, 1, 0.01]
+    assert substrings.sample_share(10**12) == substrings.SAMPLE_SHARE
+
+
+def test_most_frequent_anchors_are_held(spark):
+    texts = [" ".join(["a b c d e f g h i j k l m"] * (2 if i % 2 else 1) + [f"x{i}"]) for i in range(60)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc long, text string")
+    every = substrings.frequent_anchors(frame)
+    assert len(every) > 1 and (np.diff(every) > 0).all()
+    two = substrings.frequent_anchors(frame, held=2)
+    assert len(two) == 2 and set(two) <= set(every)
+    assert len(substrings.frequent_anchors(frame, held=0)) == 0
+
+
+@pytest.mark.parametrize("held", [0, 2, substrings.HELD])
+def test_frequent_passages_equal_brute_force(spark, monkeypatch, held):
     """Passages in most documents, alone and between other words: frequent anchors."""
+    monkeypatch.setattr(substrings, "frequent_anchors", partial(substrings.frequent_anchors, held=held))
     rng = random.Random(17)
     passages = [[f"p{k}w{i}" for i in range(n)] for k, n in ((0, 40), (1, 14), (2, 12))]
     texts = {}
