@@ -23,6 +23,7 @@ from ..functions import (
     version_key,
 )
 from ..operators import collisions
+from ..runwindow import RunWindow
 from . import bindings as B
 from .registry import check, plain, table
 
@@ -321,12 +322,15 @@ from (select o_orderkey, cast(o_orderdate as date) as day,
              last_day(cast(o_orderdate as date)) as month_end from orders)""")
 def run_window(spark, sf_dir):
     day = F.col("o_orderdate").cast("date")
-    month_end = F.last_day(day)
-    stamp = F.to_timestamp(F.concat(iso_date(day), F.lit(" 12:00:00")))
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("id"),
-        iso_date(month_end).alias("ref_date"),
-        F.date_format(month_end, "yyyyMM").alias("ref"),
-        F.date_format(F.add_months(month_end, -12), "yyyyMM").alias("first_ref"),
-        F.date_format(stamp, "yyyyMMddHHmmss").alias("dt_proc"),
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), day.alias("day"))
+    # One run window for each day of the calendar that occurs.
+    days = [r.day for r in orders.where("day is not null").select("day").distinct().collect()]
+    runs = [(day, RunWindow.of(day)) for day in days]
+    windows = spark.createDataFrame(
+        [(day, run.ref_date.isoformat(), str(run.ref), str(run.first_ref)) for day, run in runs],
+        "day date, ref_date string, ref string, first_ref string",
+    )
+    stamp = F.to_timestamp(F.concat(iso_date(F.col("day")), F.lit(" 12:00:00")))
+    return orders.join(F.broadcast(windows), "day", "left").select(
+        "id", "ref_date", "ref", "first_ref", F.date_format(stamp, "yyyyMMddHHmmss").alias("dt_proc")
     )
