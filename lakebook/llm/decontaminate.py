@@ -78,6 +78,9 @@ def _replace(pattern: str, by: str) -> Callable[[Column], Column]:
     return lambda text: F.regexp_replace(text, pattern, by)
 
 
+PUNCTUATION = Step(None, _replace(rf"[^\p{{L}}\p{{N}}{SPACE}{MARKS}]+", ""))
+
+
 def _marked(names: bool) -> list[Step]:
     """Steps to a text without punctuation whose names, numbers and units carry marks."""
     number, gap = rf"\d[\d{_POINT}]*", f"[{SPACE}{_BREAK}]"
@@ -92,7 +95,7 @@ def _marked(names: bool) -> list[Step]:
         Step(None, _replace(rf"(?=\p{{Lu}}\p{{L}})(?:{inside}|{anywhere})", _NAME)) if names else None,
         Step(_digits, _replace(r"(?<=\d)[.,:](?=\d)", _POINT)),
         Step(None, _replace(rf"[.,;:!?)]+(?=[{SPACE}])", _BREAK)) if names else None,
-        Step(None, _replace(rf"[^\p{{L}}\p{{N}}{SPACE}{MARKS}]+", "")),
+        PUNCTUATION,
         Step(_digits, _replace(rf"(?<![\p{{L}}\p{{N}}])({number}){gap}*((?i:{units}))(?![\p{{L}}\p{{N}}])", f"$1 {_UNIT}$2")),
         # Numbers are neighbours whatever stands between them, names only without punctuation.
         Step(_digits, _replace(rf"(?<![\p{{L}}\p{{N}}])({number}){gap}+(?={number}(?![\p{{L}}\p{{N}}]))", f"$1{_JOIN}")),
@@ -129,12 +132,17 @@ def canonical(text: Column, names: bool = True) -> tuple[Column, Column]:
     return reduce(lambda t, step: step.apply(t), _template(names), marked), _values(marked)
 
 
-def _gated(rows: DataFrame, column: str, steps: list[Step]) -> DataFrame:
-    """The steps, each only where its gate is open: a projection each, so none is repeated."""
+def _gated(rows: DataFrame, column: str, steps: list[Step], digits: str | None = None) -> DataFrame:
+    """The steps, each only where its gate is open: a projection each, so none is repeated.
+
+    ``digits`` names a column that has said already whether the text has any.
+    """
     for step in steps:
         done = step.apply(F.col(column))
         if step.gate is not None:
-            done = F.when(step.gate(F.col(column)), done).otherwise(F.col(column))
+            known = digits is not None and step.gate is _digits
+            open_ = F.col(digits) if known else step.gate(F.col(column))
+            done = F.when(open_, done).otherwise(F.col(column))
         rows = rows.withColumn(column, done)
     return rows
 
@@ -217,34 +225,55 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return usable.union(whole)
 
 
-def _stream_words(rows: DataFrame, stream: str) -> DataFrame:
-    """``rows`` with ``words``: those of the stream's windows."""
-    names = STREAMS.get(stream, False)
-    rows = _gated(rows.withColumn("words", F.col("text")), "words", _marked(names))
-    if stream == WHOLE:
-        return rows.withColumn("words", _words(F.translate(_values(F.col("words")), _JOIN, " ")))
-    rows = _gated(rows, "words", _template(names))
-    return rows.withColumn("words", _words(F.col("words")))
+def _plain(text: Column) -> Column:
+    """The template without names, every step done."""
+    return reduce(lambda t, step: step.apply(t), [*_marked(False), *_template(False)], text)
+
 
+def _stream_words(rows: DataFrame, streams: list[str]) -> DataFrame:
+    """``id, key, stream, words`` for each row and stream: the words of the stream's windows.
 
-def _windows(docs: DataFrame, stream: str, widths: list[int]) -> DataFrame:
-    """``id, key, stream, width, h, pos`` of all windows of a stream."""
+    Steps that two streams have in common are done once; the whole stream comes alone.
+    """
+    # No step before the placeholders makes a digit or takes one away, so one look at the text does.
+    rows = rows.withColumn("digits", _digits(F.col("text"))).withColumn("words", F.col("text"))
+    named = "named" in streams
+    marked = _marked(named)
+    shared = marked.index(PUNCTUATION) + 1
+    rows = _gated(rows, "words", marked[:shared], "digits")
+    texts = {}
+    if named and "plain" in streams:
+        # Without digits all that differs by now are the marks.
+        unmarked = F.lower(_replace(f"[{MARKS}]+", "")(F.col("words")))
+        rows = rows.withColumn("plain", F.when(F.col("digits"), _plain(F.col("text"))).otherwise(unmarked))
+        texts["plain"] = F.col("plain")
+    rows = _gated(rows, "words", marked[shared:], "digits")
+    if streams == [WHOLE]:
+        texts[WHOLE] = F.translate(_values(F.col("words")), _JOIN, " ")
+    else:
+        rows = _gated(rows, "words", _template(named), "digits")
+        texts["named" if named else "plain"] = F.col("words")
+    each = F.array(*(F.struct(F.lit(s).alias("stream"), _words(texts[s]).alias("words")) for s in streams))
+    return rows.select("id", "key", F.explode_outer(each).alias("one")).select("id", "key", "one.stream", "one.words")
+
+
+def _windows(docs: DataFrame, widths: dict[str, list[int]]) -> DataFrame:
+    """``id, key, stream, width, h, pos`` of all windows of some streams, by their widths."""
     # No filter on the array, also not the one Spark infers for a plain explode: it would be
     # pushed below the steps and repeat them.
-    some = F.size("words") >= min(widths)
-    pos = F.when(some, F.sequence(F.lit(1), F.size("words") - (min(widths) - 1)))
-    rows = _stream_words(docs, stream).select("id", "key", "words", F.explode_outer(pos).alias("pos"))
+    every = sorted({w for of in widths.values() for w in of})
+    some = F.size("words") >= every[0]
+    pos = F.when(some, F.sequence(F.lit(1), F.size("words") - (every[0] - 1)))
+    rows = _stream_words(docs, sorted(widths)).select("id", "key", "stream", "words", F.explode_outer(pos).alias("pos"))
 
     def digest(width: int) -> Column:
         # Word by word: generated code, and no copy of the window.
-        return F.xxhash64(*(F.get("words", F.col("pos") + k - 1) for k in range(width)), F.lit(stream))
+        return F.xxhash64(*(F.get("words", F.col("pos") + k - 1) for k in range(width)), F.col("stream"))
 
-    if len(widths) == 1:
-        hashed = rows.select("id", "key", "pos", F.lit(widths[0]).alias("width"), digest(widths[0]).alias("h"))
-    else:
-        each = F.explode(F.array(*(F.struct(F.lit(w).alias("width"), digest(w).alias("h")) for w in widths)))
-        hashed = rows.select("id", "key", "pos", each.alias("one")).select("id", "key", "pos", "one.width", "one.h")
-    return hashed.withColumn("stream", F.lit(stream))
+    if len(every) == 1:
+        return rows.select("id", "key", "stream", F.lit(every[0]).alias("width"), digest(every[0]).alias("h"), "pos")
+    each = F.explode(F.array(*(F.struct(F.lit(w).alias("width"), digest(w).alias("h")) for w in every)))
+    return rows.select("id", "key", "stream", "pos", each.alias("one")).select("id", "key", "stream", "one.width", "one.h", "pos")
 
 
 def _matches(docs: DataFrame, known: DataFrame, kinds: list[tuple[str, int]], longest: int) -> DataFrame:
@@ -256,8 +285,16 @@ def _matches(docs: DataFrame, known: DataFrame, kinds: list[tuple[str, int]], lo
     """
     docs = docs.withColumn("key", F.xxhash64("text"))
     used = sorted({s for s, _ in kinds})
-    probes = [_windows(docs, s, sorted(w for t, w in kinds if t == s)) for s in used]
-    hits = reduce(DataFrame.union, [p.join(known, ["stream", "width", "h"]) for p in probes])
+    widths = {s: sorted(w for t, w in kinds if t == s) for s in used}
+    # Streams that share steps and widths go through the text together.
+    together: list[dict[str, list[int]]] = []
+    for stream in used:
+        beside = next((d for d in together if WHOLE not in (stream, *d) and widths[stream] in d.values()), None)
+        if beside is None:
+            together.append({stream: widths[stream]})
+        else:
+            beside[stream] = widths[stream]
+    hits = reduce(DataFrame.union, [_windows(docs, d).join(known, ["stream", "width", "h"]) for d in together])
     hits = materialize(hits.select("id", "key", "stream", "width", "h", "pos"), "template-hits")
     # The windows of one text; their templates are built again, now with the values.
     per_doc = hits.groupBy("id", "key").agg(F.collect_list(F.struct("h", "stream", "width", "pos")).alias("found"))
