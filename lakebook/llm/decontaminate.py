@@ -51,6 +51,9 @@ STARTERS = (
     "whose why will with would yes you your after during"
 ).split()
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
+# Digests of the benchmark in one file. Were there a file for each shuffle partition, their
+# footers could make up most of the table's size, by which Spark decides to broadcast it.
+DIGESTS = 1_000_000
 # Alignments of one leak differ by at most so many words, or a quarter of the item's windows.
 DRIFT = 8
 # Marks while the punctuation goes: before names, for separators inside numbers, between
@@ -378,7 +381,8 @@ def find_leaks(
     bench = pick(items, "item_id", "text").toDF("id", "text").withColumn("text", whole_text())
     usable = materialize(benchmark_windows(bench.where("id is not null"), window), "benchmark")
     sizes = usable.groupBy("item", "stream").agg(F.countDistinct("at").alias("n_windows"))
-    known = materialize(usable.select("stream", "width", "h").distinct(), "benchmark-digests")
+    files = 1 + usable.count() // DIGESTS
+    known = materialize(usable.select("stream", "width", "h").distinct().coalesce(files), "benchmark-digests")
     kinds = [tuple(r) for r in known.select("stream", "width").distinct().collect()]
     longest = usable.where(F.col("stream") == WHOLE).agg(F.max(F.size("template"))).first()[0]
     rows = rows.where("id is not null")

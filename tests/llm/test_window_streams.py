@@ -51,3 +51,34 @@ def test_a_text_is_looked_over_once_for_both_streams(spark, docs, monkeypatch):
     (hits,) = [plan for name, plan in plans if name == "template-hits"]
     assert hits.count(", [0-9])") == 1
     assert "Union" not in hits
+
+
+def test_windows_are_not_shuffled_because_of_many_partitions(spark, monkeypatch):
+    # A file of digests for each partition would be 100 kB of footers.
+    settings = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "32k",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    plans = {}
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return materialize(df, name)
+
+    materialize = D.materialize
+    monkeypatch.setattr(D, "materialize", kept)
+    passages = [" ".join(f"{w}{chr(97 + i)}" for w in ("old", "roads", "lead", "home", "over", "many", "hills", "where", "rivers", "rest")) for i in range(20)]
+    items = spark.createDataFrame(list(enumerate(passages)), "item_id long, text string")
+    texts = spark.createDataFrame([(i, f"{t} and so on") for i, t in enumerate(passages)], "doc_id long, text string")
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        leaks = D.find_leaks(texts, items)
+        assert sorted((r.doc_id, r.item_id) for r in leaks.collect()) == [(i, i) for i in range(20)]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert "BroadcastHashJoin" in plans["template-hits"]
+    assert "SortMergeJoin" not in plans["template-hits"]
