@@ -35,3 +35,14 @@ def test_a_folder_is_tried_once(cluster, monkeypatch, tmp_path):
     scratch.scratch_root(cluster)
     monkeypatch.setattr(scratch, "located", _unseen(tmp_path))
     assert scratch.new_folder(cluster, "kept")
+
+
+def test_a_folder_is_tried_through_a_file_system_without_a_scheme_of_its_own(cluster, monkeypatch):
+    conf, jvm = cluster._jsc.hadoopConfiguration(), cluster._jvm
+    files = jvm.org.apache.hadoop.fs.RawLocalFileSystem()
+    files.initialize(jvm.java.net.URI.create("file:///"), conf)
+    monkeypatch.setattr(scratch, "located", lambda spark, path: (files, jvm.org.apache.hadoop.fs.Path(path)))
+    root = scratch.scratch_root(cluster)
+    assert scratch._tried == {(cluster.sparkContext.applicationId, root)}
+    kept = scratch.materialize(cluster.createDataFrame([(2,), (None,), (2,)], "k int"), "kept")
+    assert sorted(str(r.k) for r in kept.collect()) == ["2", "2", "None"]
