@@ -109,11 +109,13 @@ def _marked(names: bool) -> list[Step]:
 
 def _template(names: bool) -> list[Step]:
     """Steps from a marked text to its template."""
+    # Possessive groups: the others take a stack frame for each word of a run, and a table of
+    # names or numbers has thousands.
     number = rf"\d[\d{_POINT}]*"
     steps = [
-        Step(_digits, _replace(rf"(?<![\p{{L}}\p{{N}}]){number}(?:{_JOIN}{number})*", NUMBER)),
+        Step(_digits, _replace(rf"(?<![\p{{L}}\p{{N}}]){number}(?:{_JOIN}{number})*+", NUMBER)),
         Step(_has(_UNIT), _replace(rf"{_UNIT}\p{{L}}+", UNIT)),
-        Step(_has(_NAME), _replace(rf"{_NAME}\p{{L}}+(?:{_JOIN}{_NAME}\p{{L}}+)*", NAME)) if names else None,
+        Step(_has(_NAME), _replace(rf"{_NAME}\p{{L}}+(?:{_JOIN}{_NAME}\p{{L}}+)*+", NAME)) if names else None,
         Step(lambda text: text.rlike(f"[{MARKS}]"), _replace(f"[{MARKS}]+", "")),
         Step(None, F.lower),
     ]
